@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvia.llm import bpe, rules, substring
+from fluvia.llm import bpe, lm, mixing, quality, rules, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +23,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_read(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_read(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(_read(spark, sf_dir, "documents"))
 
@@ -32,7 +44,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op8_quality_rules, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm_scoring, op3_quality_classifier, op6_mixing, op8_quality_rules, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
