@@ -8,7 +8,8 @@ until one becomes 0 or 1, so totals of documents and of words stay exact. It
 runs in blocks of ``BLOCK_ROWS`` documents; the at most two that stay open in
 each block meet in the next round's blocks, until a source has one block. Its
 last two documents, the landing problem, go the way that ends nearest to the
-target.
+target; where a document far larger than the others keeps the sum off, up to
+``REPAIRS`` settled documents of the last block turn to make up for it.
 
 Null text has size 0; null source is a source of its own, the last. Repeated
 rows count each time. Rows of size 0 are taken with 0 words. Other columns
@@ -29,6 +30,8 @@ from fluvia.llm import _blocks as B
 from fluvia.llm import _text as T
 
 BLOCK_ROWS = 512
+#: Documents of the last block that the landing may turn besides those left open.
+REPAIRS = 4
 #: Fixed values of the mix.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 
@@ -112,6 +115,16 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     best = min(range(1 << len(at)), key=lambda m: (abs(want - sum(float(size[x]) for k, x in enumerate(at) if m >> k & 1)), m.bit_count(), m))
     p = p.copy()
     p[at] = [best >> k & 1 for k in range(len(at))]
+    over = float((p[at] * size[at]).sum()) - want
+    for _ in range(REPAIRS):  # a document far larger than the rest can leave the sum off: turn those that make up for it best
+        able = np.flatnonzero((size > 0) & (p == (1 if over > 0 else 0)))
+        if not len(able):
+            break
+        x = able[np.argmin(np.abs(abs(over) - size[able]))]
+        step = float(size[x]) * (1 if over > 0 else -1)
+        if abs(over - step) >= abs(over):
+            break
+        p[x], over = 1 - p[x], over - step
     return p
 
 
@@ -136,7 +149,7 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
         def fly(table: pa.Table, last=last, level=level) -> pa.Table:
             ids, size = B.ids_of(table["doc_id"]), np.asarray(table["size"])
             key = T.mix(ids.view(np.uint64) + np.uint64(seed + 1))
-            order = np.lexsort((ids, key, -size))  # largest first: what stays open for the landing is small
+            order = np.lexsort((ids, key, -size))
             rng = np.random.default_rng([seed, level, int(key.sum() & np.uint64(2**31 - 1))])
             table, size = table.take(pa.array(order)), size[order]
             p = flight(np.asarray(table["p"]), size, rng)

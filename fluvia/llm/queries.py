@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvia.llm import bpe, lm, mixing, quality, rules, substring
+from fluvia.llm import bpe, jaccard, lm, mixing, quality, rules, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(_read(spark, sf_dir, "documents"), words=4, threshold=0.85)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,7 +48,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_lm_scoring, op3_quality_classifier, op6_mixing, op8_quality_rules, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_lm_scoring, op3_quality_classifier, op4_ngram_jaccard, op6_mixing, op8_quality_rules, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
