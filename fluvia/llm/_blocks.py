@@ -115,17 +115,18 @@ def ids_back(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=ids == NO_ID)
 
 
-def blocks(docs: DataFrame, n: int) -> DataFrame:
-    """(blk, payload): whole documents (doc_id, text) dealt by doc_id into n blocks."""
+def blocks(docs: DataFrame, n: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(blk, payload): whole documents (doc_id, text and columns to carry) dealt by doc_id into n blocks."""
 
     def pack(batches):
         for t in gathered(batches):
             ids = ids_of(t["doc_id"])
-            t = pa.table({"doc_id": pa.array(ids), "text": t["text"].cast(pa.large_string())})
+            t = pa.table({"doc_id": pa.array(ids), "text": t["text"].cast(pa.large_string())} | {f"carry_{k}": t[f"carry_{k}"] for k in range(len(carry))})
             out = list(split_blocks(t, block_of(ids, n)))
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pack, "blk int, payload binary").repartition(n, "blk")
+    extra = [F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra).mapInArrow(pack, "blk int, payload binary").repartition(n, "blk")
 
 
 def shard_bounds(sorted_hashes: np.ndarray, n: int) -> np.ndarray:

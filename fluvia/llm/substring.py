@@ -23,6 +23,8 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fluvia.llm import _blocks as B
 from fluvia.llm import _text as T
@@ -126,8 +128,8 @@ def _lengths(key: np.ndarray, n: int) -> np.ndarray:
     return np.diff(B.shard_bounds(key, n))
 
 
-def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, text, n_words, n_removed, kept_sha256): documents without words of repeated windows.
+def remove_repeats(docs: DataFrame, width: int = 13, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, n_words, n_removed, kept_sha256, columns to carry): documents without words of repeated windows.
 
     A word goes if a window of ``width`` words around it also starts in a
     document with a smaller doc_id. ``text`` keeps its spacing where nothing
@@ -135,7 +137,9 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     """
     n = B.n_blocks(docs)
     bits = min(40, max(16, math.ceil(math.log2(SPREAD * max(1, B.input_bytes(docs)) / 3))))
-    dealt = B.blocks(docs, n)
+    dealt = B.blocks(docs, n, carry)
+    kinds = [(f"carry_{k}", docs.schema[c].dataType) for k, c in enumerate(carry)]
+    arrow = [(name, to_arrow_type(kind)) for name, kind in kinds]
 
     def pass_1(key, table):
         h1, _, _, _ = _windows(B.thaw(table["payload"]), width)
@@ -161,7 +165,7 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
 
     def pass_3(key, left, right):
         if not left.num_rows:
-            return _result([], [], [], [], [])
+            return _result([], [], [], [], [], {name: pa.array([], kind) for name, kind in arrow})
         table = B.thaw(left["payload"])
         exact = np.asarray(right["exact"])
         s1, _, low, place, ids, row, pos = suspects(table, right.filter(pa.array(~exact)))
@@ -170,17 +174,24 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
         gone[gone] = ~own[place[gone]] | (ids[gone] > low[place[gone]])
         return _cut(table, row[gone], pos[gone], width)
 
-    from pyspark.sql import functions as F
-
     both = cells.withColumn("exact", F.lit(False)).unionByName(least.withColumn("exact", F.lit(True)))
-    return dealt.groupBy("blk").cogroup(both.groupBy("blk")).applyInArrow(pass_3, RESULT)
+    return dealt.groupBy("blk").cogroup(both.groupBy("blk")).applyInArrow(pass_3, ", ".join([RESULT, *(f"{name} {kind.simpleString()}" for name, kind in kinds)])).withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
+
+
+def without_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
+    """Rows of docs with what stays of their texts; n_chars, where there is one, follows. Emptied documents stay, empty."""
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = remove_repeats(docs, width, carry)
+    if "n_chars" in carry:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
 
 
 RESULT = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string"
 
 
-def _result(ids, texts, n_words, n_removed, digests) -> pa.Table:
-    return pa.table({"doc_id": B.ids_back(np.asarray(ids, np.int64)), "text": pa.array(texts, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+def _result(ids, texts, n_words, n_removed, digests, carried) -> pa.Table:
+    return pa.table({"doc_id": B.ids_back(np.asarray(ids, np.int64)), "text": pa.array(texts, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())} | carried)
 
 
 def _cut(table: pa.Table, row: np.ndarray, pos: np.ndarray, width: int) -> pa.Table:
@@ -231,4 +242,5 @@ def _cut(table: pa.Table, row: np.ndarray, pos: np.ndarray, width: int) -> pa.Ta
         words_n.append(w.counts)
         removed.append(lost)
     cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return _result(B.ids_of(table["doc_id"]), texts, cat(words_n), cat(removed), digests)
+    carried = {c: table[c] for c in table.column_names if c.startswith("carry_")}
+    return _result(B.ids_of(table["doc_id"]), texts, cat(words_n), cat(removed), digests, carried)
