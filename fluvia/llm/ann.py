@@ -4,7 +4,7 @@ Vectors are dealt into shards of about ``SHARD_ROWS`` rows. Each shard grows
 ``TREES`` trees; a node halves its rows at the median of their projection on the
 difference of two of them. A query walks all trees of a shard through one
 shared priority queue, ordered by the widest margin that a path has crossed,
-until the leaves hold ``SHARE`` of the shard; the candidates' exact distances
+until the leaves hold ``SHARE`` of the shard (``LEAST`` rows at least); the candidates' exact distances
 give the shard's best, and the best of all shards are the result. Queries meet
 shards in groups of bounded size, so no task holds more than a shard and a
 group. Every vector is indexed.
@@ -30,6 +30,8 @@ from fluvia.llm import _blocks as B
 
 SHARD_ROWS, QUERY_ROWS = 8192, 16384
 TREES, LEAF, SHARE = 8, 48, 0.62
+#: Candidates of a shard at least; smaller shards are searched whole.
+LEAST = 1024
 
 
 class Forest:
@@ -86,7 +88,7 @@ def _search(k: int, share: float):
             ids, x = ids[order], _matrix(left["x"].take(pa.array(order)), dim)
             qids, q = qids[q_order], _matrix(right["q"].take(pa.array(q_order)), dim)
             forest = Forest(x, seed=key[1].as_py())
-            least = max(k + 1, math.ceil(share * len(x)))
+            least = max(k + 1, LEAST, math.ceil(share * len(x)))
             for name, v in zip(qids.tolist(), q, strict=True):
                 rows = forest.candidates(v, least)
                 rows = rows[ids[rows] != name]
