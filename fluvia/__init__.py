@@ -1,0 +1 @@
+"""fluvia: raster-change analytics over pixel tables, in Spark."""
