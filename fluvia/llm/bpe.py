@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from fluvia.llm import _text as T
 
 LONG = 256
-CACHE_WORDS = 600_000
-CHUNK_BYTES = 4 << 20
+CACHE_WORDS = 200_000
+CHUNK_BYTES = 1 << 20
 #: White space of Unicode.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The splitting pattern of the byte-level pre-tokenizer.
