@@ -2,9 +2,9 @@
 
 
 def _modules():
-    from fluvia.plans import maps
+    from fluvia.plans import maps, tables
 
-    return [maps]
+    return [maps, tables]
 
 
 def all_queries() -> dict:
