@@ -1,0 +1,50 @@
+"""Queries and the pipeline's stages over the smallest tables."""
+
+import re
+from collections import Counter
+from pathlib import Path
+
+import corpus_pipeline
+import duckdb
+import pytest
+
+from fluvia.llm import queries as Q
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_sql(spark, sf, name):
+    db = duckdb.connect()
+    for p in Path(sf).glob("*.parquet"):
+        db.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM read_parquet('{p}')")
+    df = Q.queries()[name](spark, sf)
+    cols = sorted(df.columns)
+    want = db.sql(f"SELECT {', '.join(cols)} FROM ({Q.oracle_sql()[name]})").fetchall()
+    assert Counter(tuple(r[c] for c in cols) for r in df.collect()) == Counter(want)
+
+
+def test_pipeline(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = docs
+    seen = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.B.written(stage(spark, kept, sf))
+        assert kept.columns == docs.columns
+        seen.append({r.doc_id for r in kept.select("doc_id").collect()})
+    assert seen[1] < seen[0] and seen[2] == seen[1] and seen[3] < seen[2]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    good = {k for k, v in labels.items() if v == 1}
+    assert len(good & seen[0]) >= 0.95 * len(good)
+    out = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in kept.collect())
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parents[2]
+    for p in ("fluvia", "__spark_entry__.py"):
+        subprocess.run(["cp", "-r", root / p, tmp_path], check=True)
+    subprocess.run(["rm", "-r", tmp_path / "fluvia" / "llm"], check=True)
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') and k[2].isdigit() for k in e.queries()))"], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
+    assert re.fullmatch(r"\d+ False\n", out.stdout), out.stderr
