@@ -32,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.llm import _blocks as B
@@ -333,8 +333,7 @@ def _found(ids, rep, n, shared, first) -> pa.Table:
 def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """Rows of docs that are the first of their class; of rows with one doc_id one stays, rows without doc_id all go or stay as their class has another or not."""
     keep = similar(docs, words, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return kept.withColumn("_nth", nth).where("_nth = 1 or doc_id is null").drop("_nth")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("_id"))).withColumn("nth", nth)
+    return kept.where("nth = 1 or id is null").select("row.*")

@@ -146,14 +146,14 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
         last = most_rows <= BLOCK_ROWS
         blocks = F.greatest(F.ceil(F.col("n_rows") / BLOCK_ROWS), F.lit(1))
 
-        def fly(table: pa.Table, last=last, level=level) -> pa.Table:
+        def fly(table: pa.Table, level=level) -> pa.Table:
             ids, size = B.ids_of(table["doc_id"]), np.asarray(table["size"])
             key = T.mix(ids.view(np.uint64) + np.uint64(seed + 1))
             order = np.lexsort((ids, key, -size))
             rng = np.random.default_rng([seed, level, int(key.sum() & np.uint64(2**31 - 1))])
             table, size = table.take(pa.array(order)), size[order]
             p = flight(np.asarray(table["p"]), size, rng)
-            if last:
+            if len(p) and table["n_rows"][0].as_py() <= BLOCK_ROWS:  # all of the source's open rows are here
                 p = landing(p, size)
             return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p))
 
@@ -181,8 +181,9 @@ def _without_block(f):
 def remixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     """Rows of docs as often as the mix takes them. Rows of one doc_id share what was drawn for them."""
     drawn = mixed(docs, seed).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    names = docs.columns
-    joined = docs.join(drawn.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).where("_copies > 0")
-    nth = F.row_number().over(Window.partitionBy("_id").orderBy("_id"))
-    each = F.floor((F.col("_copies") + F.col("_rows") - nth) / F.col("_rows")).cast("int")
-    return joined.withColumn("_each", F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each).cast("int")).where("_each > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*names)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
+    joined = rows.join(drawn, F.col("id").eqNullSafe(F.col("doc_id"))).where("_copies > 0")
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    each = F.floor((F.col("_copies") + F.col("_rows") - nth) / F.col("_rows"))
+    taken = joined.withColumn("each", F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each).cast("int")).where("each > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("each")))).select("row.*")
