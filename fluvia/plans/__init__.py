@@ -2,9 +2,9 @@
 
 
 def _modules():
-    from fluvia.plans import maps, tables
+    from fluvia.plans import maps, more, tables
 
-    return [maps, tables]
+    return [maps, tables, more]
 
 
 def all_queries() -> dict:

@@ -186,3 +186,33 @@ def test_odd_and_even_dates_are_of_the_whole_cube(spark):
     df = spark.createDataFrame(rows, "row int, col int, date string, v double")
     got = {(r.col, r.subset): r.n for r in composite.subset_statistics(df, "v").collect()}
     assert got == {(0, "all"): 2, (0, "odd"): 2, (1, "all"): 1, (1, "even"): 1}
+
+
+def test_contour_crosses_between_cells(spark):
+    from fluvia.operators import unmix
+
+    a = np.array([[0.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 0.0]])
+    lines = unmix.contour(grid(spark, a, "v"), "v")
+    got = lines.collect()
+    assert len(got) == 4  # a diamond around the middle
+    assert sum(math.hypot(r.x2 - r.x1, r.y2 - r.y1) for r in got) == pytest.approx(4 * math.hypot(0.5, 0.5))
+    saddle = unmix.contour(grid(spark, np.array([[1.0, 0.0], [0.0, 1.0]]), "v"), "v").collect()
+    assert len(saddle) == 2
+
+
+def test_length_in_circle(spark):
+    from fluvia.operators import unmix
+
+    sites = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, 500.0)], "id int, x double, y double")
+    lines = spark.createDataFrame([(1, -50.0, 0.0, 50.0, 0.0), (2, 0.0, 6.0, 100.0, 6.0), (3, 3.0, 3.0, 3.0, 3.0)], "sid int, x1 double, y1 double, x2 double, y2 double")
+    got = {r.id: r.length for r in unmix.length_within(sites, lines, "id", 10.0).collect()}
+    assert got == {1: pytest.approx(20 + 8), 2: 0.0}
+
+
+def test_fraction_and_blocks(spark):
+    from fluvia.operators import ml, unmix
+
+    df = spark.createDataFrame([(0.5, 1.0, 0.0), (2.0, 1.0, 0.0), (0.5, 0.5, 0.5)], "b double, w double, l double")
+    assert [r[0] for r in df.select(unmix.fraction([F.col("b")], [F.col("w")], [F.col("l")])).collect()] == [0.5, 1.0, None]
+    rows = spark.createDataFrame([(float(k), 2.0 * k) for k in range(90)], "x double, y double")
+    assert sorted(r.n for r in ml.spatial_blocks(rows, 3).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()) == [30, 30, 30]
