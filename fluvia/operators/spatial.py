@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluvia.operators.regions import written
+
 
 def _bucket(df: DataFrame, x: str, y: str, d: float, around: bool) -> DataFrame:
     bx, by = F.floor(F.col(x) / d), F.floor(F.col(y) / d)
@@ -40,12 +45,30 @@ def near_any(points: DataFrame, zone: DataFrame, d: float) -> DataFrame:
 
 
 def nearest(sites: DataFrame, places: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, name, distance) of the nearest of few places (a gazetteer: its size is checked); ties go to the smaller name."""
-    if places.count() > 10_000:
-        raise ValueError("more places than one task should hold: use bounded_nearest")
-    pairs = sites.crossJoin(F.broadcast(places)).withColumn("d2", squared("x", "y", "px", "py"))
-    best = pairs.groupBy(key).agg(F.min(F.struct("d2", name)).alias("b"))
-    return best.select(key, F.col(f"b.{name}").alias(name), F.sqrt("b.d2").alias("distance"))
+    """(key, name, distance) of the nearest place; ties go to the smaller name.
+
+    Sites look within a distance at which a bucket holds about one place; those
+    that found none look again twice as far, up to the extent of all. Rows
+    without coordinates take no part; without places there are no rows.
+    """
+    places = places.where("px is not null and py is not null")
+    left = sites.select(key, "x", "y").where("x is not null and y is not null")
+    n, ax, bx, ay, by = places.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
+    cx, dx, cy, dy = left.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if not n or cx is None:
+        return within(left, places, 1.0).select(key, name, F.sqrt("d2").alias("distance"))
+    reach = max(math.hypot(max(bx, dx) - min(ax, cx), max(by, dy) - min(ay, cy)), 1e-9) * 1.001
+    d = min(reach, max(math.sqrt((bx - ax) * (by - ay) / n), reach / 4096))
+    found = []
+    while True:
+        best = written(within(left, places, d).groupBy(key).agg(F.min(F.struct("d2", name)).alias("b")))
+        found.append(best)
+        left = left.join(best, key, "left_anti")
+        if d >= reach or left.isEmpty():
+            break
+        d = min(2 * d, reach)
+    every = reduce(DataFrame.unionByName, found)
+    return every.select(key, F.col(f"b.{name}").alias(name), F.sqrt("b.d2").alias("distance"))
 
 
 def bounded_nearest(sites: DataFrame, points: DataFrame, key: str, name: str, d: float) -> DataFrame:

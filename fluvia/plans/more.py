@@ -58,14 +58,14 @@ def bank_line_length(spark, d):
 
 
 @query(f"""WITH {_SITES}, g AS (SELECT s_suppkey AS sid, (s_suppkey * 197 % 20011)::DOUBLE AS x1, (s_suppkey * 611 % 20023)::DOUBLE AS y1, (s_suppkey * 197 % 20011 + s_suppkey % 900 - 450)::DOUBLE AS x2, (s_suppkey * 611 % 20023 + s_suppkey * 7 % 900 - 450)::DOUBLE AS y2 FROM supplier),
-c AS (SELECT id, (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) AS qa, (x1 - x) * (x2 - x1) + (y1 - y) * (y2 - y1) AS qb, (x1 - x) * (x1 - x) + (y1 - y) * (y1 - y) - 250000 AS qc FROM s, g WHERE id % 10 = 0),
+c AS (SELECT id, (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) AS qa, (x1 - x) * (x2 - x1) + (y1 - y) * (y2 - y1) AS qb, (x1 - x) * (x1 - x) + (y1 - y) * (y1 - y) - 250000 AS qc FROM s, g),
 l AS (SELECT id, CASE WHEN qa > 0 AND qb * qb > qa * qc THEN (least(greatest((-qb + sqrt(qb * qb - qa * qc)) / qa, 0), 1) - least(greatest((-qb - sqrt(qb * qb - qa * qc)) / qa, 0), 1)) * sqrt(qa) ELSE 0 END AS l FROM c)
 SELECT id, round(sum(l), 3) AS length FROM l GROUP BY id""")
 def road_length(spark, d):
     k = F.col("s_suppkey")
     x1, y1 = k * 197 % 20011, k * 611 % 20023
     g = table(spark, d, "supplier").select(k.alias("sid"), x1.cast("double").alias("x1"), y1.cast("double").alias("y1"), (x1 + k % 900 - 450).cast("double").alias("x2"), (y1 + k * 7 % 900 - 450).cast("double").alias("y2"))
-    return unmix.length_within(site_frame(spark, d).where("id % 10 = 0").select("id", "x", "y"), g, "id", 500.0).withColumn("length", F.round("length", 3))
+    return unmix.length_within(site_frame(spark, d).select("id", "x", "y"), g, "id", 500.0).withColumn("length", F.round("length", 3))
 
 
 @query(f"""WITH {OBS}, {PERIODS}, {CHANGE}, m AS (SELECT ch."row", ch.col, CASE WHEN ch."row" % 5 = 0 THEN (CASE WHEN cls IN (1, 5, 2) THEN 0 ELSE cls END) ELSE cls END AS std, CASE WHEN ch."row" % 5 = 0 AND mb - ma > 0.004 THEN 1 WHEN ch."row" % 5 = 0 AND mb - ma < -0.004 THEN 2 END AS tst FROM ch JOIN pf USING ("row", col))

@@ -113,13 +113,13 @@ def urgency_counts(spark, d):
     return sites.counted(urgency_frame(spark, d), "urgency", ["Immediate", "Before monsoon", "Routine", "Monitor", "None"])
 
 
-_PLACES = "pl AS (SELECT s_name AS name, (s_suppkey * 197 % 20011)::DOUBLE AS px, (s_suppkey * 611 % 20023)::DOUBLE AS py FROM supplier WHERE s_suppkey < 160)"
+_PLACES = "pl AS (SELECT s_name AS name, (s_suppkey * 197 % 20011)::DOUBLE AS px, (s_suppkey * 611 % 20023)::DOUBLE AS py FROM supplier)"
 _POINTS = "pt AS (SELECT c_custkey AS pid, (c_custkey * 59 % 20011)::DOUBLE AS px, (c_custkey * 83 % 20023)::DOUBLE AS py, round(greatest(c_acctbal, 0) * 100)::BIGINT AS v FROM customer)"
 
 
 def places(spark, d) -> DataFrame:
     k = F.col("s_suppkey")
-    return table(spark, d, "supplier").where("s_suppkey < 160").select(F.col("s_name").alias("name"), (k * 197 % 20011).cast("double").alias("px"), (k * 611 % 20023).cast("double").alias("py"))
+    return table(spark, d, "supplier").select(F.col("s_name").alias("name"), (k * 197 % 20011).cast("double").alias("px"), (k * 611 % 20023).cast("double").alias("py"))
 
 
 def points(spark, d) -> DataFrame:
@@ -161,7 +161,7 @@ def point_in_polygon(spark, d):
     return spatial.inside_polygon(site_frame(spark, d).select("id", "x", "y"), RING).select("id", "inside")
 
 
-_FIELD = """st AS (SELECT 'S' || id AS site_id, split_part(cls, ' (', 1) AS site_class, x, y FROM s WHERE id % 40 = 0),
+_FIELD = """st AS (SELECT 'S' || id AS site_id, split_part(cls, ' (', 1) AS site_class, x, y FROM s),
 rc AS (SELECT c_custkey AS record_id, CASE WHEN c_custkey % 3 = 0 THEN 'S' || (c_custkey % 500) END AS claimed, CASE WHEN c_custkey % 19 <> 0 THEN (c_custkey * 59 % 20011)::DOUBLE END AS px, (c_custkey * 83 % 20023)::DOUBLE AS py,
   CASE c_custkey % 4 WHEN 0 THEN 'erosion_mainland' WHEN 1 THEN 'accretion' WHEN 2 THEN 'unsure' END AS ref, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' END AS seen, 'D' || lpad((c_custkey % 90)::VARCHAR, 2, '0') AS today FROM customer),
 r2 AS (SELECT * FROM rc WHERE px IS NOT NULL), ex AS (SELECT site_id, record_id FROM r2 JOIN st ON claimed = site_id),
@@ -174,7 +174,7 @@ vd AS (SELECT lt.site_id, visits, CASE WHEN site_class IN ('Bank erosion', 'Char
 
 
 def field_frames(spark, d) -> tuple[DataFrame, DataFrame]:
-    s = site_frame(spark, d).where("id % 40 = 0").select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("site_id"), rules.short_class(F.col("cls")).alias("site_class"), "x", "y")
+    s = site_frame(spark, d).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("site_id"), rules.short_class(F.col("cls")).alias("site_class"), "x", "y")
     k = F.col("c_custkey")
     r = table(spark, d, "customer").select(
         k.alias("record_id"), F.when(k % 3 == 0, F.concat(F.lit("S"), (k % 500).cast("string"))).alias("claimed"), F.when(k % 19 != 0, (k * 59 % 20011).cast("double")).alias("px"), (k * 83 % 20023).cast("double").alias("py"),
@@ -281,11 +281,11 @@ def stratified_sample(spark, d):
     return stats.stratified_sample(s.select("doc_id", "stratum"), "stratum", "doc_id", 20)
 
 
-@query("SELECT o_orderkey AS run, o_orderdate::DATE AS day, o_totalprice AS area, NULL::VARCHAR AS note FROM orders WHERE o_orderkey < 500 AND o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, o_orderdate::DATE, o_totalprice + 1, 'new' FROM orders WHERE o_orderkey < 600 AND o_orderkey % 5 = 0")
+@query("SELECT o_orderkey AS run, o_orderdate::DATE AS day, o_totalprice AS area, NULL::VARCHAR AS note FROM orders WHERE o_orderstatus <> 'O' UNION ALL SELECT o_orderkey, o_orderdate::DATE, o_totalprice + 1, 'new' FROM orders WHERE o_orderstatus = 'O'")
 def history_upsert(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("run"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("area"))
-    new = o.where("run < 600 and run % 5 = 0").withColumn("area", F.col("area") + 1).withColumn("note", F.lit("new"))
-    return sites.upsert(o.where("run < 500"), new, "run")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("run"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("area"), "o_orderstatus")
+    new = o.where("o_orderstatus = 'O'").withColumn("area", F.col("area") + 1).withColumn("note", F.lit("new"))
+    return sites.upsert(o.drop("o_orderstatus"), new.drop("o_orderstatus"), "run")
 
 
 @query(f"WITH {_SITES} SELECT id, cls, conf, NULL::DOUBLE AS prob FROM s WHERE source = 'change' UNION ALL SELECT id, cls, NULL, prob FROM s WHERE source = 'ai'")

@@ -216,3 +216,12 @@ def test_fraction_and_blocks(spark):
     assert [r[0] for r in df.select(unmix.fraction([F.col("b")], [F.col("w")], [F.col("l")])).collect()] == [0.5, 1.0, None]
     rows = spark.createDataFrame([(float(k), 2.0 * k) for k in range(90)], "x double, y double")
     assert sorted(r.n for r in ml.spatial_blocks(rows, 3).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()) == [30, 30, 30]
+
+
+def test_nearest_place_without_rows_far_away_and_without_coordinates(spark):
+    sites = spark.createDataFrame([(1, 0.0, 0.0), (2, 5e6, 5e6), (3, None, 1.0), (4, 10.0, 0.0)], "id int, x double, y double")
+    places = spark.createDataFrame([("b", 5.0, 0.0), ("a", -5.0, 0.0), ("c", 5.0, 0.0), ("d", None, 0.0)], "name string, px double, py double")
+    got = {r.id: (r.name, r.distance) for r in spatial.nearest(sites, places, "id", "name").collect()}
+    assert got == {1: ("a", 5.0), 2: ("b", math.hypot(5e6 - 5, 5e6)), 4: ("b", 5.0)}
+    assert spatial.nearest(sites, places.limit(0), "id", "name").collect() == []
+    assert spatial.nearest(sites.limit(0), places, "id", "name").collect() == []
