@@ -22,7 +22,7 @@ def stratified_mean(sample: DataFrame, strata: DataFrame, stratum: str, value: C
     total = strata.agg(F.sum("size").alias("total"))
     per = sample.withColumn("_v", value).groupBy(stratum).agg(F.avg("_v").alias("m"), F.coalesce(F.var_samp("_v"), F.lit(0.0)).alias("s2"), F.count("_v").alias("n"))
     w = F.col("size") / F.col("total")
-    return per.join(F.broadcast(strata), stratum).crossJoin(F.broadcast(total)).agg(F.sum(w * F.col("m")).alias("mean"), F.sqrt(F.sum(w * w * F.col("s2") / F.col("n"))).alias("se"))
+    return per.join(strata, stratum).crossJoin(F.broadcast(total)).agg(F.sum(w * F.col("m")).alias("mean"), F.sqrt(F.sum(w * w * F.col("s2") / F.col("n"))).alias("se"))
 
 
 def ratio(sample: DataFrame, strata: DataFrame, stratum: str, y: Column, x: Column) -> DataFrame:
@@ -33,7 +33,7 @@ def ratio(sample: DataFrame, strata: DataFrame, stratum: str, y: Column, x: Colu
         F.avg("_y").alias("my"), F.avg("_x").alias("mx"), zero(F.var_samp("_y")).alias("vy"), zero(F.var_samp("_x")).alias("vx"), zero(F.covar_samp("_x", "_y")).alias("vxy"), F.count("_y").alias("n")
     )
     w = F.col("size") / F.col("total")
-    joined = per.join(F.broadcast(strata), stratum).crossJoin(F.broadcast(total)).withColumn("w", w)
+    joined = per.join(strata, stratum).crossJoin(F.broadcast(total)).withColumn("w", w)
     sums = joined.agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("my", "mx")], *[F.sum(F.col("w") * F.col("w") * F.col(c) / F.col("n")).alias(c) for c in ("vy", "vx", "vxy")])
     r = F.try_divide(F.col("my"), F.col("mx"))
     return sums.select(r.alias("ratio"), (F.sqrt(F.greatest(F.col("vy") + r * r * F.col("vx") - 2 * r * F.col("vxy"), F.lit(0.0))) / F.col("mx")).alias("se"))
@@ -44,5 +44,5 @@ def area_matrix(sample: DataFrame, strata: DataFrame, stratum: str, map_class: s
     total = strata.agg(F.sum("size").alias("total"))
     n = sample.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
     cells = sample.groupBy(stratum, map_class, reference).agg(F.count(F.lit(1)).alias("k"))
-    joined = cells.join(n, stratum).join(F.broadcast(strata), stratum).crossJoin(F.broadcast(total))
+    joined = cells.join(n, stratum).join(strata, stratum).crossJoin(F.broadcast(total))
     return joined.groupBy(map_class, reference).agg(F.sum(F.col("size") / F.col("total") * F.col("k") / F.col("n")).alias("share"))
