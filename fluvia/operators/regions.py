@@ -7,6 +7,7 @@ small graph of border regions. Lineage is cut in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -125,10 +126,62 @@ def inland_split(change: DataFrame, river: DataFrame, touch: int = 2) -> DataFra
     return out.select(*CELL, F.when(F.col("some") & F.col("six").isNotNull(), 6).otherwise(F.col("cls")).alias("cls"))
 
 
-def distance_to(cells: DataFrame, targets: DataFrame, res: float, reach: int) -> DataFrame:
-    """(row, col, distance) to the nearest target within ``reach`` cells, exact; NULL beyond. Buckets of that width keep it an equi-join."""
+def _across(lo: int, hi: int):
+    """(row, col, gap): of a row with targets, the cells to its nearest one from each column from lo to hi."""
+
+    def run(table: pa.Table) -> pa.Table:
+        on, at = np.unique(np.asarray(table["tc"]).astype(np.int64)), np.arange(lo, hi + 1)
+        k = np.searchsorted(on, at)
+        gap = np.minimum(np.abs(at - on[np.maximum(k - 1, 0)]), np.abs(on[np.minimum(k, len(on) - 1)] - at))
+        return pa.table({"tr": pa.array(np.full(len(at), table["tr"][0].as_py()), pa.int64()), "col": pa.array(at, pa.int64()), "gap": pa.array(gap, pa.int64())})
+
+    return run
+
+
+def _down(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Adds d2 to the cells of a column: the lower envelope of the parabolas gap**2 + (row - tr)**2. All numbers are whole, so it is exact."""
+    if not right.num_rows:
+        return pa.table({**{k: left[k] for k in CELL}, "d2": pa.nulls(left.num_rows, pa.int64())})
+    tr, gap = np.asarray(right["tr"]), np.asarray(right["gap"])
+    order = np.argsort(tr)
+    tr, gap = tr[order].tolist(), gap[order].tolist()
+    base, start = [], []  # parabolas of the envelope, and from where each is the least
+    for k, (r, g) in enumerate(zip(tr, gap, strict=True)):
+        at = -math.inf
+        while base:
+            q = base[-1]
+            at = (g * g + r * r - gap[q] ** 2 - tr[q] ** 2) / (2 * (r - tr[q]))
+            if at > start[-1]:
+                break
+            base.pop()
+            start.pop()
+            at = -math.inf
+        base.append(k)
+        start.append(at)
+    row = np.asarray(left["row"]).astype(np.int64)
+    k = np.array(base)[np.searchsorted(np.array(start), row, side="right") - 1]
+    d2 = np.array(gap)[k] ** 2 + (row - np.array(tr)[k]) ** 2
+    return pa.table({**{k: left[k] for k in CELL}, "d2": pa.array(d2, pa.int64())})
+
+
+def distance_to(cells: DataFrame, targets: DataFrame, res: float, reach: int | None = None) -> DataFrame:
+    """(row, col, distance) to the nearest target, exact; NULL only where there is none at all.
+
+    The nearest target of each row first, then the least over the rows of a
+    column: a task holds one row or one column of the grid. With ``reach`` the
+    distance is NULL beyond so many cells, and buckets of that width keep it an
+    equi-join.
+    """
+    t = targets.select(F.col("row").alias("tr"), F.col("col").alias("tc"))
+    if reach is None:
+        own = cells.select(*CELL)
+        lo, hi = own.agg(F.min("col"), F.max("col")).first()
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
+        across = t.where("tr is not null and tc is not null").groupBy("tr").applyInArrow(_across(lo or 0, -1 if hi is None else hi), "tr long, col long, gap long")
+        near = own.groupBy("col").cogroup(across.groupBy("col")).applyInArrow(_down, f"{kinds}, d2 long")
+        return near.select(*CELL, (F.sqrt(F.col("d2")) * res).alias("distance"))
     b = reach
-    t = targets.select(F.col("row").alias("tr"), F.col("col").alias("tc")).withColumn("br", F.floor(F.col("tr") / b)).withColumn("bc", F.floor(F.col("tc") / b))
+    t = t.withColumn("br", F.floor(F.col("tr") / b)).withColumn("bc", F.floor(F.col("tc") / b))
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     c = cells.select(*CELL, F.explode(steps).alias("s")).withColumn("br", F.floor(F.col("row") / b) + F.col("s.i")).withColumn("bc", F.floor(F.col("col") / b) + F.col("s.j"))
     d2 = (F.col("row") - F.col("tr")) * (F.col("row") - F.col("tr")) + (F.col("col") - F.col("tc")) * (F.col("col") - F.col("tc"))

@@ -220,7 +220,7 @@ m AS (SELECT l."row", l.col, min((l."row" - wt."row") * (l."row" - wt."row") + (
 def retreat_distance(spark, d):
     w = water(spark, d)
     land = freq(spark, d).join(w, ["row", "col"], "left_anti")
-    return regions.distance_to(land, w, 20.0, 5).select("row", "col", F.round("distance", 6).alias("distance"))
+    return regions.distance_to(land, w, 20.0).select("row", "col", F.round("distance", 6).alias("distance"))
 
 
 @query(f"""WITH RECURSIVE {OBS}, {FREQ}, {WATER}, {EDGES}, {REACH}, {PIXELS} SELECT region::BIGINT AS region, count(*) AS pixels, sum(s)::BIGINT AS total, round(avg(z), 6) AS mean, max(z) AS most FROM rg JOIN px ON px."row" = rg."row" AND px.col = rg.col GROUP BY region""")

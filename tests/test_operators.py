@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fluvia.functions import rules, special, spectral
 from fluvia.functions.coordinates import from_utm, to_utm
 from fluvia.operators import composite, focal, regions, spatial, stats, threshold
+from fluvia.plans import all_queries
 
 RNG = np.random.default_rng(5)
 
@@ -89,6 +90,30 @@ def test_distance_is_exact_within_reach(spark):
         assert got[r, c] is None if d > 4 else abs(got[r, c] - 10 * d) < 1e-9
 
 
+def test_distance_without_reach_is_whole(spark):
+    a = RNG.random((40, 33)) < 0.01
+    a[:3, :4] = a[-1, -1] = True
+    a[10:39] = False
+    cells = grid(spark, a.astype(int))
+    on = np.argwhere(a)
+    got = {(r.row, r.col): r.distance for r in regions.distance_to(cells, cells.where("cls = 1"), 10.0).collect()}
+    want = {(r, c): 10 * min(math.hypot(r - x, c - y) for x, y in on) for r, c in itertools.product(range(40), range(33))}
+    assert got.keys() == want.keys() and max(want.values()) > 100
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {r.distance for r in regions.distance_to(cells, cells.where("cls = 7"), 10.0).collect()} == {None}
+    assert regions.distance_to(cells.where("cls = 7"), cells, 10.0).count() == 0
+
+
+def test_retreat_distance_has_no_bound(spark, tmp_path):
+    """Water in one corner of a grid that is more than 100 m wide."""
+    day = "1998-07-01"
+    rows = [(k, day, 1, 1, 1.0, 1.0, 0.10 if k == 0 else 0.0, 0.0, "F") for k in range(20) for _ in range(2)]
+    cols = "l_partkey long, l_shipdate string, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linestatus string"
+    spark.createDataFrame(rows, cols).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.col: r.distance for r in all_queries()["retreat_distance"](spark, str(tmp_path)).collect()}
+    assert got == {k: 20.0 * k for k in range(1, 20)}
+
+
 def test_otsu_splits_two_heaps(spark):
     v = np.concatenate([RNG.normal(0, 1, 300), RNG.normal(10, 1, 300)]).reshape(20, 30)
     t = threshold.otsu(grid(spark, v, "v"), "v").first().threshold
