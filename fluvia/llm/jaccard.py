@@ -13,11 +13,13 @@
 4. In a cluster the sets, most common shingles first, are stored in a prefix
    tree with joined edges. A set probes the tree: one walk shares the overlap
    with all sets that begin alike, and a subtree is left as soon as the
-   remaining lengths can't reach the overlap that the smallest set below needs,
-   or if all below it is already connected to the probe. Every link between
-   different components of a cluster is found, so components are exact, but
-   not all pairs are made. Clusters of over ``CLUSTER_SHINGLES`` are cut into
-   parts, and each pair of parts is joined in a task of its own.
+   remaining lengths can't reach the overlap that the smallest set below needs.
+   Every link is verified once and counted for both its ends, each with the
+   copies of the other; a spanning part of the links goes on to the components.
+   Without the counts (``count_links=False``) a subtree is also left if all
+   below it is already connected to the probe: components are the same then.
+   Clusters of over ``CLUSTER_SHINGLES`` are cut into parts, and each pair of
+   parts is joined in a task of its own.
 
 Null text is empty; without words a document has the empty set and links with
 nothing. With fewer words than a shingle has, the whole sequence is the one
@@ -42,6 +44,7 @@ from fluvia.llm._components import components, find
 CLUSTER_SHINGLES = 2_000_000
 SPREAD = 16
 MOST_COUNT = 255
+NODE_BITS = 40  # a group of equal texts is a node: its block, and its place in the block
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,8 +152,9 @@ class Node:
 
 
 class Tree:
-    def __init__(self, t: float, sizes: list[int], sets: list[np.ndarray], parent: dict[int, int]):
-        self.t, self.sizes, self.sets, self.parent = t, sizes, sets, parent
+    def __init__(self, t: float, sizes: list[int], sets: list[np.ndarray], parent: dict[int, int], copies: list[int] | None = None):
+        self.t, self.sizes, self.sets, self.parent, self.copies = t, sizes, sets, parent, copies
+        self.counts = [0] * len(sets)  # links of each set, where copies are given
         self.root = Node(np.zeros(0, np.uint64), 1 << 60, 0)
         self.links: list[tuple[int, int]] = []
 
@@ -163,14 +167,14 @@ class Tree:
         return node.same and node.owner >= 0 and find(self.parent, node.owner) == me
 
     def probe(self, x: int) -> None:
-        """Link x with a set of each component of the tree that has one like it."""
-        own = self.sets[x]
+        """Link x with a set of each component of the tree that has one like it; count its links with all sets."""
+        own, copies = self.sets[x], self.copies
         held = np.sort(own)
         n, size = len(own), self.sizes[x]
         stack = [(self.root, 0, n)]
         while stack:
             node, overlap, left = stack.pop()
-            if self.connected(node, find(self.parent, x)):
+            if copies is None and self.connected(node, find(self.parent, x)):
                 continue
             edge = node.edge
             if len(edge):
@@ -179,8 +183,12 @@ class Tree:
             if overlap + min(left, node.most) < needed(self.t, size, max(node.least, math.ceil(self.t * size - 1e-9))):
                 continue
             for y in node.ends:
-                if overlap >= needed(self.t, size, self.sizes[y]) and find(self.parent, x) != find(self.parent, y):
-                    self.join(x, y)
+                if overlap >= needed(self.t, size, self.sizes[y]):
+                    if copies is not None:
+                        self.counts[x] += copies[y]
+                        self.counts[y] += copies[x]
+                    if find(self.parent, x) != find(self.parent, y):
+                        self.join(x, y)
             stack += [(kid, overlap, left) for kid in node.kids.values()]
 
     def add(self, x: int) -> None:
@@ -218,50 +226,54 @@ class Tree:
                 node.owner = x
 
 
-def tree_links(sizes: list[int], sets: list[np.ndarray], t: float, left: list[int] | None = None, right: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that connect what all pairs at the threshold would; between left and right only where they are given."""
-    parent: dict[int, int] = {}
-    tree = Tree(t, sizes, sets, parent)
+def tree_links(sizes: list[int], sets: list[np.ndarray], t: float, left: list[int] | None = None, right: list[int] | None = None, copies: list[int] | None = None) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links that connect what all pairs at the threshold would, and (where copies are given) how many links each set has; between left and right only where they are given."""
+    tree = Tree(t, sizes, sets, {}, copies)
     if left is None:
         for x in sorted(range(len(sets)), key=lambda k: sizes[k]):
             if len(sets[x]):
                 tree.probe(x)
                 tree.add(x)
-        return tree.links
+        return tree.links, tree.counts
     for x in left:
         tree.add(x)
     for x in right or []:
         tree.probe(x)
-    return tree.links
+    return tree.links, tree.counts
 
 
-def _cluster_task(t: float):
+def _cluster_task(t: float, count_links: bool):
+    """Links (a, b, 0) between nodes, and (a, a, links) of each node that has any."""
+
     def run(table: pa.Table) -> pa.Table:
-        a, b = [], []
+        a, b, c = [], [], []
         cluster, part = np.asarray(table["cluster"]), np.asarray(table["part"])
         i, j = np.asarray(table["i"]), np.asarray(table["j"])
-        rep, n = np.asarray(table["rep"]), np.asarray(table["n"])
-        order = np.lexsort((rep, j, i, cluster))
+        node, n, many = np.asarray(table["node"]), np.asarray(table["n"]), np.asarray(table["copies"])
+        order = np.lexsort((node, j, i, cluster))
         key = np.stack([cluster[order], i[order], j[order]])
         cut = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)])) if len(order) else []
         for k, e in zip(cut, [*cut[1:], len(order)], strict=True):
             rows = order[k:e]
             sets = [np.frombuffer(table["shared"][int(r)].as_py(), np.uint64) for r in rows]
             sizes = n[rows].tolist()
+            copies = many[rows].tolist() if count_links else None
             if i[rows[0]] == j[rows[0]]:
-                links = tree_links(sizes, sets, t)
+                links, counts = tree_links(sizes, sets, t, copies=copies)
             else:
                 at = np.argsort(n[rows], kind="stable").tolist()
-                links = tree_links(sizes, sets, t, [x for x in at if part[rows[x]] == i[rows[0]]], [x for x in at if part[rows[x]] == j[rows[0]]])
-            a += [int(rep[rows[x]]) for x, _ in links]
-            b += [int(rep[rows[y]]) for _, y in links]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                links, counts = tree_links(sizes, sets, t, [x for x in at if part[rows[x]] == i[rows[0]]], [x for x in at if part[rows[x]] == j[rows[0]]], copies)
+            linked = [x for x, k in enumerate(counts) if k]
+            a += [int(node[rows[x]]) for x, _ in links] + [int(node[rows[x]]) for x in linked]
+            b += [int(node[rows[y]]) for _, y in links] + [int(node[rows[x]]) for x in linked]
+            c += [0] * len(links) + [counts[x] for x in linked]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(c, pa.int64())})
 
     return run
 
 
-def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the size of each document's set, and the smallest doc_id reachable by links."""
+def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shingles: int = CLUSTER_SHINGLES, count_links: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): the size of each document's set, the smallest doc_id reachable by links, and with how many other rows it has a link (left out without count_links)."""
     n = B.n_blocks(docs)
     bits = min(40, max(16, math.ceil(math.log2(SPREAD * max(1, B.input_bytes(docs)) / 3))))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -275,9 +287,9 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shi
 
     counts = B.answered(dealt.groupBy("blk").applyInArrow(ask, B.REQUEST), n, _merge)
 
-    def prefixes(left, right):
+    def prefixes(key, left, right):
         if not left.num_rows:
-            return _found([], [], [], [], [])
+            return _found([], [], [], [], [], [], [])
         s = Sets(left["payload"], words)
         _, place, _ = s.cells(bits)
         answers = B.answers_of(right)
@@ -290,8 +302,9 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shi
         shared = count > 1
         first = shared & (rank < np.repeat(limit, s.sizes))
         alone = T.sums_by(first, s.bounds) == 0
+        copies = np.bincount(s.group, weights=[len(ids) for ids in s.ids], minlength=len(s.rep)).astype(np.int64)
         seen = set()
-        rows = ([], [], [], [], [])
+        rows = ([], [], [], [], [], [], [])
         for k, ids in zip(s.group.tolist(), s.ids, strict=True):
             a, b = s.bounds[k], s.bounds[k + 1]
             tell = k not in seen and not alone[k]
@@ -301,38 +314,48 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shi
             rows[2].append(int(s.sizes[k]))
             rows[3].append(shingles[a:b][shared[a:b]][::-1].tobytes() if tell else None)
             rows[4].append(shingles[a:b][first[a:b]].view(np.int64) if tell else None)
+            rows[5].append(key[0].as_py() << NODE_BITS | k)
+            rows[6].append(int(copies[k]))
         return _found(*rows)
 
-    found = B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(prefixes, "ids array<long>, rep long, n long, shared binary, first array<long>"))
-    probes = found.where("first is not null").select("rep", F.explode("first").alias("shingle"))
-    least = probes.groupBy("shingle").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most").drop("most")
-    clusters = B.written(components(probes.join(least, "shingle").select(F.col("rep").alias("a"), "b")).withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster"))
-    members = B.written(found.where("shared is not null").select("rep", "n", "shared").join(clusters, "rep"))
+    found = B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(prefixes, "ids array<long>, rep long, n long, shared binary, first array<long>, node long, copies long"))
+    probes = found.where("first is not null").select("node", F.explode("first").alias("shingle"))
+    least = probes.groupBy("shingle").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").drop("most")
+    clusters = B.written(components(probes.join(least, "shingle").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster"))
+    members = B.written(found.where("shared is not null").select("node", "rep", "n", "copies", "shared").join(clusters, "node"))
     size = members.groupBy("cluster").agg(F.sum(F.length("shared") / 8).alias("size"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     parts = F.ceil(F.col("size") / cluster_shingles).cast("int")
     tasks = (
         members.join(size.select("cluster", parts.alias("parts")), "cluster")
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("i", F.least("part", "other"))
         .withColumn("j", F.greatest("part", "other"))
         .withColumn("bin", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(8 * n))).otherwise(F.xxhash64("cluster", "i", "j")))
-        .select("rep", "n", "shared", "cluster", "part", "i", "j", "bin")
+        .select("node", "n", "copies", "shared", "cluster", "part", "i", "j", "bin")
     )
-    links = tasks.groupBy("bin").applyInArrow(_cluster_task(threshold), "a long, b long")
-    classes = components(B.written(links)).select(F.col("node").alias("rep"), "component")
-    joined = found.select("ids", "rep", "n").join(classes, "rep", "left").select("n", F.explode("ids").alias("doc_id"), F.coalesce("component", "rep").alias("component"))
+    links = B.written(tasks.groupBy("bin").applyInArrow(_cluster_task(threshold, count_links), "a long, b long, links long"))
+    nodes = components(links)
+    least = nodes.join(members.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
+    joined = found.select("ids", "node", "rep", "n", "copies").join(nodes.join(least, "component").select("node", "least"), "node", "left")
     known = lambda c: F.when(c != B.NO_ID, c)
-    return joined.select(known(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))).alias("component_id"))
+    columns = [known(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))).alias("component_id")]
+    counted = ["n", F.explode("ids").alias("doc_id"), F.coalesce("least", "rep").alias("component")]
+    if count_links:
+        counts = links.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+        joined = joined.join(counts, "node", "left")
+        counted.append(F.when(F.col("n") == 0, 0).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+        columns.append(F.col("n_links"))
+    return joined.select(*counted).select(*columns)
 
 
-def _found(ids, rep, n, shared, first) -> pa.Table:
-    return pa.table({"ids": pa.array(ids, pa.list_(pa.int64())), "rep": pa.array(rep, pa.int64()), "n": pa.array(n, pa.int64()), "shared": pa.array(shared, pa.binary()), "first": pa.array(first, pa.list_(pa.int64()))})
+def _found(ids, rep, n, shared, first, node, copies) -> pa.Table:
+    return pa.table({"ids": pa.array(ids, pa.list_(pa.int64())), "rep": pa.array(rep, pa.int64()), "n": pa.array(n, pa.int64()), "shared": pa.array(shared, pa.binary()), "first": pa.array(first, pa.list_(pa.int64())), "node": pa.array(node, pa.int64()), "copies": pa.array(copies, pa.int64())})
 
 
 def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """Rows of docs that are the first of their class; of rows with one doc_id one stays, rows without doc_id all go or stay as their class has another or not."""
-    keep = similar(docs, words, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    keep = similar(docs, words, threshold, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
     nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
     kept = rows.join(keep, F.col("id").eqNullSafe(F.col("_id"))).withColumn("nth", nth)

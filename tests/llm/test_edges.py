@@ -140,6 +140,18 @@ def test_jaccard_parts_and_rounds(spark):
     assert {x.node: x.component for x in components(links, single=3).collect()} == one
 
 
+def test_jaccard_counts_every_link(spark):
+    """Near copies that all link: components need n - 1 of the links, counts need all; copies count each, two texts without doc_id apart."""
+    rows = [(k, " ".join(f"t{j}" if j != 5 * k else f"e{k}" for j in range(80)), "en", "s") for k in range(1, 13)]
+    rows += [(100, rows[0][1].upper(), "en", "s"), (101, rows[0][1], "en", "s"), (None, rows[1][1] + " x", "en", "s"), (None, " ".join(f"z{j}" for j in range(80)), "en", "s"), (200, "", "en", "s"), (201, None, "en", "s"), (202, "two words", "en", "s"), (203, "Two words", "en", "s")]
+    sets = [frozenset(zip(*(words(r[1], True)[k:] for k in range(3)), strict=False)) or frozenset([tuple(words(r[1], True))] if r[1] else []) for r in rows]
+    want = Counter((r[0], len(a), sum(k != j and bool(a) and 100 * len(a & b) >= 80 * len(a | b) for k, b in enumerate(sets))) for j, (r, a) in enumerate(zip(rows, sets, strict=True)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert max(n for _, _, n in want) > 10
+    for most in (2_000_000, 300):
+        assert Counter((x.doc_id, x.n_shingles, x.n_links) for x in jaccard.similar(df, 3, 0.8, cluster_shingles=most).collect()) == want
+
+
 def test_substring(docs):
     first = {}
     rows = [(float("inf") if r[0] is None else r[0], words(r[1])) for r in ROWS]
