@@ -9,6 +9,9 @@ from fluvia.plans.grid import CHANGE, OBS, PERIODS, PIXELS, periods, pixels, sha
 from fluvia.plans.maps import both_periods, change
 from fluvia.plans.tables import _SITES, site_frame
 
+#: Fixed value: blocks of the cross-validation.
+BLOCKS = 6
+
 QUERIES, SQL = {}, {}
 
 
@@ -93,6 +96,6 @@ def learning_rows(spark, d):
 
 @query()
 def ml_scores(spark, d):
-    """Out-of-block probabilities of three blocks; few trees, as the grid is small."""
-    rows = ml.spatial_blocks(learning_rows(spark, d), 3)
-    return ml.cross_validated(rows, lambda: ml.Susceptibility(["v", "box_mean", "slope", "z"], trees=5, rounds=2), 3)
+    """Out-of-block probabilities of six blocks, with the models' default sizes."""
+    rows = ml.spatial_blocks(learning_rows(spark, d), BLOCKS)
+    return ml.cross_validated(rows, lambda: ml.Susceptibility(["v", "box_mean", "slope", "z"]), BLOCKS)

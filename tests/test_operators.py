@@ -114,6 +114,25 @@ def test_retreat_distance_has_no_bound(spark, tmp_path):
     assert got == {k: 20.0 * k for k in range(1, 20)}
 
 
+def test_ml_scores_registers_whole_models(spark, sf, monkeypatch):
+    from fluvia.operators import ml
+
+    seen = {}
+    monkeypatch.setattr(ml, "cross_validated", lambda rows, make, blocks: seen.update(model=make(), blocks=blocks) or rows)
+    rows = all_queries()["ml_scores"](spark, sf)
+    assert (seen["model"].trees, seen["model"].rounds, seen["blocks"]) == (300, 400, 6)
+    assert {r.block for r in rows.select("block").distinct().collect()} == set(range(6))
+
+
+def test_blocks_side_by_side_score_every_row_once(spark):
+    from fluvia.operators import ml
+
+    rows = spark.createDataFrame([(k, float(k % 7), k % 3, int(k % 7 > 3)) for k in range(90)], "k int, v double, block int, label int")
+    out = ml.cross_validated(rows, lambda: ml.Susceptibility(["v"], trees=2, rounds=1), 3).collect()
+    assert sorted(r.k for r in out) == list(range(90))
+    assert all((r.probability > 0.5) == (r.label == 1) for r in out)
+
+
 def test_otsu_splits_two_heaps(spark):
     v = np.concatenate([RNG.normal(0, 1, 300), RNG.normal(10, 1, 300)]).reshape(20, 30)
     t = threshold.otsu(grid(spark, v, "v"), "v").first().threshold
