@@ -2,53 +2,71 @@
 
 An operator that needs a statistic of the whole corpus about each of a
 document's windows would shuffle a row a window. Here documents are dealt once
-into blocks (compressed, a few megabytes each). A block sends each shard of the
-hash space one packed, sorted, delta-coded array of its distinct hashes; the
-shard adds up what all blocks sent and answers each with an array in the same
-order. Both sides are bounded by the size of a block and of a shard, whatever
-the corpus is, and a frequent key costs one entry a block. Everything is an
-ordinary shuffle, so a lost executor costs a recomputation only.
+into blocks (compressed, a few megabytes each). A block sends packed, sorted,
+delta-coded arrays of its distinct hashes; what all blocks sent is added up, and
+each gets answers in the order of what it sent.
+
+``Exchange`` carries the arrays through a butterfly. At each of ``levels``
+levels a node merges what up to ``fan`` nodes sent it, a frequent key to one
+entry, and cuts the result by hash range into at most ``fan`` messages to the
+next level; after the last level a node holds a range of the hash space from all
+blocks. Answers go the same way back. A block so sends ``fan`` messages a level,
+whatever the number of blocks, and a node holds about as much as a block. With
+up to ``FAN`` blocks there is one level. Everything is an ordinary shuffle, so a
+lost executor costs a recomputation only.
 """
 
 from __future__ import annotations
 
-import atexit
 import math
 import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20
+#: Bytes of text in a block, about.
+BLOCK_BYTES = 7 << 20
 PACK_BYTES = 24 << 20
+#: Messages that a node sends at most, and receives.
+FAN = 256
+#: Shuffle partitions at most; beyond, a partition takes its nodes one after the other.
+MOST_PARTS = 50_000
 NO_ID = np.iinfo(np.int64).max
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size; 0 where it has none."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return 0 if size > 1 << 60 else size
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, counted."""
+    return int(docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0)
 
 
-def n_blocks(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(parts, math.ceil(input_bytes(df) / BLOCK_BYTES))
+def n_blocks(df: DataFrame, size: int) -> int:
+    """Blocks for texts of that many bytes."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BLOCK_BYTES))
+
+
+def sketch_bits(size: int, spread: int) -> int:
+    """Bits that number about ``spread`` cells for every three bytes of text."""
+    return min(44, max(16, math.ceil(math.log2(spread * max(1, size) / 3))))
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes. Sorted unsigned arrays become differences; equal byte places stand together."""
+    """Arrays as compressed bytes. Sorted unsigned arrays become differences; equal byte places stand together; booleans are bits."""
     parts = []
     for a in arrays:
         a = np.ascontiguousarray(a)
         kind = a.dtype.str
         delta = kind == "<u8" and len(a) > 1 and bool((a[1:] >= a[:-1]).all())
-        if delta:
-            a = np.diff(a, prepend=np.uint64(0))
-        raw = a.view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) and a.dtype.itemsize > 1 else a.tobytes()
+        if a.dtype == bool:
+            raw = np.packbits(a).tobytes()
+        else:
+            if delta:
+                a = np.diff(a, prepend=np.uint64(0))
+            raw = a.view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) and a.dtype.itemsize > 1 else a.tobytes()
         parts.append((kind, delta, len(a), raw))
     raw = pickle.dumps(parts, 5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -60,11 +78,20 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     for kind, delta, n, b in pickle.loads(raw):
         dt = np.dtype(kind)
         a = np.frombuffer(b, np.uint8)
-        a = np.ascontiguousarray(a.reshape(dt.itemsize, n).T).view(dt).reshape(-1) if n and dt.itemsize > 1 else a.view(dt)
+        if dt == bool:
+            a = np.unpackbits(a, count=n).astype(bool)
+        else:
+            a = np.ascontiguousarray(a.reshape(dt.itemsize, n).T).view(dt).reshape(-1) if n and dt.itemsize > 1 else a.view(dt)
         out.append(np.cumsum(a, dtype=np.uint64) if delta else a)
     return out
 
 
+def small(a: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest unsigned type that holds them."""
+    top = int(a.max()) if len(a) else 0
+    return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
 def freeze(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
@@ -76,12 +103,6 @@ def thaw(payloads: pa.ChunkedArray) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for c in payloads.chunks for x in c])
 
 
-def block_of(key: np.ndarray, n: int) -> np.ndarray:
-    from fluvia.llm._text import mix
-
-    return (mix(key.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int32)
-
-
 def split_blocks(table: pa.Table, blk: np.ndarray):
     """Pairs of a block's number and its rows, frozen."""
     order = np.argsort(blk, kind="stable")
@@ -116,86 +137,207 @@ def ids_back(ids: np.ndarray) -> pa.Array:
 
 
 def blocks(docs: DataFrame, n: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(blk, payload): whole documents (doc_id, text and columns to carry) dealt by doc_id into n blocks."""
+    """(blk, payload): whole documents (doc_id, text and columns to carry) dealt by id and text into n blocks, so that neither one id nor a group of copies fills a block."""
 
     def pack(batches):
         for t in gathered(batches):
-            ids = ids_of(t["doc_id"])
+            ids, blk = ids_of(t["doc_id"]), np.asarray(t["blk"])
             t = pa.table({"doc_id": pa.array(ids), "text": t["text"].cast(pa.large_string())} | {f"carry_{k}": t[f"carry_{k}"] for k in range(len(carry))})
-            out = list(split_blocks(t, block_of(ids, n)))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
+            out = list(split_blocks(t, blk))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
 
     extra = [F.col(f"`{c}`").alias(f"carry_{k}") for k, c in enumerate(carry)]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra).mapInArrow(pack, "blk int, payload binary").repartition(n, "blk")
-
-
-def shard_bounds(sorted_hashes: np.ndarray, n: int) -> np.ndarray:
-    """Where each of n equal ranges of the hash space begins and ends in a sorted array."""
-    edges = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(sorted_hashes, edges), [len(sorted_hashes)]])
-
-
-def table_of(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
-    return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(schema)}, schema=pa.schema(schema))
-
-
-REQUEST = "shard int, blk int, payload binary"
-REQUEST_ARROW = [("shard", pa.int32()), ("blk", pa.int32()), ("payload", pa.binary())]
-
-
-def answered(requests: DataFrame, n: int, merge) -> DataFrame:
-    """merge gets the arrays of each block that wrote to a shard, and gives an answer's arrays for each."""
-
-    def shard(table: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(table["blk"]), kind="stable")
-        table = table.take(pa.array(order))
-        answers = merge([unsqueeze(x.as_py()) for x in table["payload"]])
-        return pa.table({"shard": table["shard"], "blk": table["blk"], "payload": pa.array([squeeze(*a) for a in answers], pa.binary())})
-
-    return requests.repartition(n, "shard").groupBy("shard").applyInArrow(shard, REQUEST)
-
-
-def answers_of(table: pa.Table) -> list[list[np.ndarray]]:
-    """A block's answers, by shard."""
-    order = np.argsort(np.asarray(table["shard"]), kind="stable")
-    return [unsqueeze(x.as_py()) for x in table["payload"].take(pa.array(order))]
-
-
-def merged_order(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of sorted arrays, and for their concatenation the index of each entry among them."""
-    every = np.concatenate(parts)
-    return np.unique(every, return_inverse=True)
-
-
-def pieces(values: np.ndarray, parts: list[np.ndarray]) -> list[np.ndarray]:
-    return np.split(values, np.cumsum([len(p) for p in parts])[:-1])
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(*own, F.pmod(F.xxhash64(*own), F.lit(n)).alias("blk"), *extra).mapInArrow(pack, DEALT).repartition(min(n, MOST_PARTS), "blk")
+
+
+DEALT = "blk long, payload binary"
+#: To a node of the next level, from the sender's place among its siblings.
+MESSAGE = "node long, src int, payload binary"
+#: To a node of the level before (a block at last), about one of the ranges that it sent.
+ANSWER = "blk long, sub int, payload binary"
+
+
+def table_of(rows: list[tuple], ddl: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [x.split() for x in ddl.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
+class Group:
+    """Arrays that belong together: ``keys`` sorted hash arrays (the first rules the order), then ``values`` of each key."""
+
+    def __init__(self, keys: int = 1, values: int = 1, answers: int = 1):
+        self.keys, self.values, self.answers = keys, values, answers
+
+
+class Exchange:
+    """What n blocks send, merged over all of them, and the answers.
+
+    ``combine(g, values, at, m)`` merges the values of group g; ``at`` tells for
+    each entry which of the m merged ones it goes to. ``answer(g, keys, values)``
+    gives the answer arrays of a merged range. ``back(g, at, values, merged,
+    answers)`` turns answers about merged entries to those about what was sent;
+    by default each takes its merged entry's. ``totals(groups)`` is an array of
+    sums over a range; blocks get the sum over all ranges.
+    """
+
+    def __init__(self, n: int, groups: list[Group], combine: Callable, answer: Callable, back: Callable | None = None, totals: Callable | None = None, fan: int = FAN):
+        self.n, self.groups, self.combine, self.answer, self.totals = n, groups, combine, answer, totals
+        self.back = back or (lambda g, at, values, merged, answers: [a[at] for a in answers])
+        self.levels = 1
+        while fan**self.levels < n:
+            self.levels += 1
+        self.fan = 1
+        while self.fan**self.levels < n:
+            self.fan += 1
+
+    def _flat(self, arrays: list[np.ndarray], widths: list[int]) -> list[list[np.ndarray]]:
+        at = np.cumsum([0, *widths])
+        return [arrays[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def _cut(self, groups: list[list[np.ndarray]], level: int, prefix: int):
+        """Messages (range, payload) of a node of that level; empty ones only where totals of all ranges are wanted."""
+        size = self.fan ** (level + 1)
+        edges = np.array([((prefix * self.fan + r) << 64) // size for r in range(1, self.fan)], np.uint64)
+        bounds = [np.concatenate([[0], np.searchsorted(g[0], edges), [len(g[0])]]) for g in groups]
+        for r in range(self.fan):
+            if self.totals or any(b[r + 1] > b[r] for b in bounds):
+                yield r, squeeze(*(a[b[r] : b[r + 1]] for g, b in zip(groups, bounds, strict=True) for a in g))
+
+    def ask(self, blk: int, groups: list[list[np.ndarray]]) -> pa.Table:
+        """Messages of a block: of each group its key arrays and value arrays."""
+        return self._messages(0, blk, groups)
+
+    def _messages(self, level: int, node: int, groups: list[list[np.ndarray]]) -> pa.Table:
+        group, prefix = divmod(node, self.fan**level)
+        to, size = group // self.fan, self.fan ** (level + 1)
+        return table_of([(to * size + prefix * self.fan + r, group % self.fan, x) for r, x in self._cut(groups, level, prefix)], MESSAGE)
+
+    def _merged(self, table: pa.Table):
+        table = table.take(pa.array(np.argsort(np.asarray(table["src"]), kind="stable")))
+        parts = [self._flat(unsqueeze(x.as_py()), [g.keys + g.values for g in self.groups]) for x in table["payload"]]
+        merged, places, sent = [], [], []
+        for g, spec in enumerate(self.groups):
+            every = [np.concatenate([p[g][k] for p in parts]) for k in range(spec.keys + spec.values)]
+            keys, values = every[: spec.keys], every[spec.keys :]
+            if spec.keys == 1:
+                distinct, at = np.unique(keys[0], return_inverse=True)
+                distinct = [distinct]
+            else:
+                order = np.lexsort(keys[::-1])
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+                distinct = [k[order[new]] for k in keys]
+                at = np.empty(len(order), np.int64)
+                at[order] = np.cumsum(new) - 1
+            merged.append([*distinct, *self.combine(g, values, at, len(distinct[0]))])
+            places.append((at, [len(p[g][0]) for p in parts]))
+            sent.append(values)
+        return np.asarray(table["src"]), merged, places, sent
+
+    def _replies(self, level: int, node: int, src, merged, places, sent, answers: list[list[np.ndarray]], totals: list[np.ndarray]) -> pa.Table:
+        group, prefix = divmod(node, self.fan**level)
+        each: list[list[np.ndarray]] = [[] for _ in src]
+        for g, spec in enumerate(self.groups):
+            at, sizes = places[g]
+            for a in self.back(g, at, sent[g], merged[g][spec.keys :], answers[g]):
+                for own, piece in zip(each, np.split(a, np.cumsum(sizes)[:-1]), strict=True):
+                    own.append(piece)
+        to = lambda s: (group * self.fan + int(s)) * self.fan ** (level - 1) + prefix // self.fan
+        return table_of([(to(s), prefix % self.fan, squeeze(*own, *totals)) for s, own in zip(src, each, strict=True)], ANSWER)
+
+    def read(self, table: pa.Table) -> tuple[list[list[np.ndarray]], np.ndarray | None]:
+        """Answers of each group in the order of what was asked, and the totals."""
+        table = table.take(pa.array(np.argsort(np.asarray(table["sub"]), kind="stable")))
+        parts = [unsqueeze(x.as_py()) for x in table["payload"]]
+        n = sum(g.answers for g in self.groups)
+        arrays = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(n)]
+        return self._flat(arrays, [g.answers for g in self.groups]), sum(p[n] for p in parts) if self.totals and parts else None
+
+    def _up(self, level: int):
+        def up(key, table):
+            _, merged, _, _ = self._merged(table)
+            return self._messages(level, key[0].as_py(), merged)
+
+        return up
+
+    def _top(self):
+        def top(key, table):
+            src, merged, places, sent = self._merged(table)
+            answers = [self.answer(g, m[: s.keys], m[s.keys :]) for g, (s, m) in enumerate(zip(self.groups, merged, strict=True))]
+            return self._replies(self.levels, key[0].as_py(), src, merged, places, sent, answers, [self.totals(merged)] if self.totals else [])
+
+        return top
+
+    def _down(self, level: int):
+        def down(key, left, right):
+            if not left.num_rows:
+                return table_of([], ANSWER)
+            answers, totals = self.read(right)
+            return self._replies(level, key[0].as_py(), *self._merged(left), answers, [] if totals is None else [totals])
+
+        return down
+
+    def answers(self, requests: DataFrame) -> DataFrame:
+        """(blk, sub, payload) for ``read``, from the rows that ``ask`` gave."""
+        parts = min(self.n, MOST_PARTS)
+        up = [requests.repartition(parts, "node")]
+        for level in range(1, self.levels):
+            up.append(up[-1].groupBy("node").applyInArrow(self._up(level), MESSAGE).repartition(parts, "node"))
+        down = up[-1].groupBy("node").applyInArrow(self._top(), ANSWER)
+        for level in range(self.levels - 1, 0, -1):
+            down = up[level - 1].groupBy("node").cogroup(down.withColumnRenamed("blk", "node").groupBy("node")).applyInArrow(self._down(level), ANSWER)
+        return down
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, a local session gets one of its own."""
     app = spark.sparkContext.applicationId
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = _own[app] = _own.get(app) or "file://" + tempfile.mkdtemp(prefix="fluvia-")
     root = f"{at.rstrip('/')}/fluvia-{app}"
     if root not in _roots:
         _roots.add(root)
-        atexit.register(remove, spark, root)
+        path, fs = _path(spark, root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)  # by the JVM as it ends, also after spark.stop()
+        if app in _own:
+            fs.deleteOnExit(path.getParent())
     return root
 
 
 _roots: set[str] = set()
 _own: dict[str, str] = {}
+_tables: list[str] = []
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read again: its lineage ends there, and any executor can be lost after."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    _tables.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``build`` gives, written; tables that were written on the way to it are removed."""
+    before = len(_tables)
+    out = written(build())
+    for path in _tables[before:-1]:
+        remove(spark, path)
+    del _tables[before:-1]
+    return out

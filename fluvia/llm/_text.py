@@ -8,6 +8,7 @@ modulo 2**64 on purpose (unsigned numpy integers wrap).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,24 +29,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
-
-_BASE = 0xD6E8FEB86659FD93
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power(n: int) -> list[np.ndarray]:
-    """Powers 0..n-1 of the base and of its inverse."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((_BASE, _BASE_INV)):
-            p = np.full(n, b, np.uint64)
-            p[0] = 1
-            np.multiply.accumulate(p, out=p)
-            _powers[k] = p
-    return _powers
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Masks of the first 0..8 bytes of a little-endian word.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Spans of more bytes are digested one by one.
+LONG_SPAN = 256
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,28 +81,61 @@ class Words:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        return span_hashes(self.buf, self.starts, self.ends, lower)
-
-
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of byte spans, from prefix sums of a polynomial over mixed bytes."""
-    power, inverse = _power(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    v = (_LOWER if lower else _BYTE)[buf]
-    v *= power[: len(buf)]
-    np.cumsum(v, out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * _ODD)
-
-
-def ngrams(words: np.ndarray, counts: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self, lower: bool = False, lane: int = 0) -> np.ndarray:
+        return span_hashes(self.buf, self.starts, self.ends, lower, lane)
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans; lanes 0 and 1 are independent of each other.
+
+    A span is read in words of 8 bytes, all spans at once, and each word goes
+    through a mixing step that isn't linear; spans of over ``LONG_SPAN`` bytes
+    get a keyed BLAKE2b.
+    """
+    if lower:
+        buf = _LOWER[buf]
+    size = ends - starts
+    key = _M1 if lane == 0 else _M2
+    h = mix((size.astype(np.uint64) + np.uint64(1)) * _ODD + key)
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))  # the 8 bytes from each byte on
+    short = size <= LONG_SPAN
+    live = np.flatnonzero((size > 0) & short)
+    at, left = starts[live], size[live]
+    while len(live):
+        word = eight[at] & _FIRST[np.minimum(left, 8)]
+        old = h[live]
+        h[live] = mix((old ^ word) + key) if lane == 0 else mix(old + (word ^ key) * _ODD)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(~short).tolist():
+        h[k] = int.from_bytes(blake2b(buf[starts[k] : ends[k]].data, digest_size=8, key=b"%d" % lane).digest(), "little")
+    return h
+
+
+def joined_words(w: Words, kept: np.ndarray, lower: bool = False) -> tuple[bytes, np.ndarray]:
+    """Kept words of each document joined by one space, as bytes of all documents and the bounds of each."""
+    edge = np.zeros(len(w.buf) + 1, np.int8)
+    edge[w.starts[kept]] += 1
+    edge[w.ends[kept]] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    doc = w.doc[kept]
+    sep = np.zeros(len(w.buf), np.uint8)
+    later = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+    sep[w.starts[kept][later]] = 1  # each kept word but a document's first has a space before it
+    to = np.cumsum(inside.astype(np.int64) + sep)
+    joined = np.full(int(to[-1]) if len(to) else 0, 32, np.uint8)
+    joined[to[inside] - 1] = (_LOWER[w.buf] if lower else w.buf)[inside]
+    return joined.tobytes(), np.concatenate([[0], to])[w.offs]
+
+
+def ngrams(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-word windows inside documents, and the index of each window's first word."""
     if len(words) < n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    k = np.uint64((0xA0761D6478BD642F + 2 * salt * 0x9E3779B97F4A7C15) & (2**64 - 1) | 1)
-    w = mix(words + np.uint64(salt)) if salt else words
-    m = len(w) - n + 1
+    k = np.uint64(0xA0761D6478BD642F)
+    w, m = words, len(words) - n + 1
     h = w[:m].copy()
     for j in range(1, n):
         h *= k

@@ -1,15 +1,15 @@
 """Links between documents whose shingle sets are alike, by a prefix-tree join.
 
-1. Documents with the same word sequence are put together (within scan tasks
-   before the shuffle, so a large group of copies is small); one of them, the
-   representative, goes on.
-2. Shingles get a global order, rarest first: a sketch of cells, sharded and
-   exchanged by ``_blocks``, counts for each cell the documents that use it.
+1. Documents with the same lower-cased word sequence (a 128-bit BLAKE2b of it)
+   are one group. A scan task sends one text of each of its groups, with the
+   number of copies and their smallest doc_id; ids themselves stay where they are.
+2. Shingles get a global order, rarest first: a sketch of cells, merged over all
+   blocks by ``_blocks``, counts for each cell the groups that use it.
    (cell count, hash) is a total order that all blocks compute alike. A shingle
-   of a cell used once stands in no other document.
+   of a cell used once stands in no other group.
 3. If two sets reach the threshold they share a shingle among the first
-   ``n - ceil(t n) + 1`` of either. Documents that share such a shingle,
-   directly or through others, form a cluster; no link leaves a cluster.
+   ``n - ceil(t n) + 1`` of either. Groups that share such a shingle, directly
+   or through others, form a cluster; no link leaves a cluster.
 4. In a cluster the sets, most common shingles first, are stored in a prefix
    tree with joined edges. A set probes the tree: one walk shares the overlap
    with all sets that begin alike, and a subtree is left as soon as the
@@ -18,33 +18,38 @@
    copies of the other; a spanning part of the links goes on to the components.
    Without the counts (``count_links=False``) a subtree is also left if all
    below it is already connected to the probe: components are the same then.
-   Clusters of over ``CLUSTER_SHINGLES`` are cut into parts, and each pair of
-   parts is joined in a task of its own.
+   A cluster of over ``CLUSTER_SHINGLES`` is cut into bands of set sizes, so
+   that a link joins sets of one band or of two that follow each other, and a
+   band into parts; each pair of parts that can have links is a task of its own.
+
+Shingles are told apart by 64-bit hashes; a link is wrong only where two
+different shingles of the same two documents collide.
 
 Null text is empty; without words a document has the empty set and links with
 nothing. With fewer words than a shingle has, the whole sequence is the one
-shingle. Rows of one doc_id are rows of their own with one class. A null doc_id
-sorts after all others and is null in the result. Other columns aren't read.
-An empty table gives no rows.
+shingle. Rows of one doc_id are rows of their own. A null doc_id sorts after all
+others and is null in the result. Other columns aren't read. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluvia.llm import _blocks as B
 from fluvia.llm import _text as T
 from fluvia.llm._components import components, find
 
-CLUSTER_SHINGLES = 2_000_000
-SPREAD = 16
+CLUSTER_SHINGLES = 1 << 18
+SPREAD = 8
 MOST_COUNT = 255
-NODE_BITS = 40  # a group of equal texts is a node: its block, and its place in the block
+NODE_BITS = 32  # a group of equal texts is a node: its block, and its place in the block
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,35 +73,36 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndar
     return grams[new], np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=n))])
 
 
-def _sequence_keys(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each document's lower-cased word sequence."""
-    w = T.Words(buf, offs)
-    h = w.hashes(lower=True)
-    place = (np.arange(len(h)) - np.repeat(w.first[:-1], w.counts)).astype(np.uint64)
+def sequence_keys(texts: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """128 bits of each text's lower-cased words, as two columns."""
+    buf, offs = T.utf8(texts)
     out = []
-    for salt in (1, 2):
-        v = T.mix(h + T.mix(place * np.uint64(2) + np.uint64(salt)))
-        s = np.zeros(len(v) + 1, np.uint64)
-        np.cumsum(v, out=s[1:])
-        out.append(T.mix(s[w.first[1:]] - s[w.first[:-1]] + w.counts.astype(np.uint64)))
-    return out[0], out[1]
+    for a, b in T.chunks(offs):
+        w = T.Words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+        raw, at = T.joined_words(w, np.ones(len(w.starts), bool), lower=True)
+        raw = memoryview(raw)
+        out += [blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(at[:-1], at[1:], strict=True)]
+    return np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)
+
+
+def _grouped(k1: np.ndarray, k2: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their groups, smallest id first, and which of them begin a group."""
+    order = np.lexsort((low, k2, k1))
+    new = np.ones(len(order), bool)
+    new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+    return order, new
 
 
 def _pack(n: int):
     def pack(batches):
         for t in B.gathered(batches):
-            ids = B.ids_of(t["doc_id"])
-            buf, offs = T.utf8(t["text"])
-            keys = [_sequence_keys(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a]) for a, b in T.chunks(offs)]
-            k1, k2 = (np.concatenate([k[j] for k in keys]) for j in (0, 1))
-            order = np.lexsort((ids, k2, k1))
-            new = np.ones(len(order), bool)
-            new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+            ids, keys = B.ids_of(t["doc_id"]), sequence_keys(t["text"])
+            order, new = _grouped(keys[:, 0], keys[:, 1], ids)
             first = order[new]
-            bounds = np.concatenate([np.flatnonzero(new), [len(order)]]).astype(np.int32)
-            group = pa.table({"k1": k1[first], "k2": k2[first], "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids[order])), "text": t["text"].cast(pa.large_string()).take(pa.array(first))})
-            out = list(B.split_blocks(group, (k1[first] % np.uint64(n)).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
+            copies = np.diff(np.append(np.flatnonzero(new), len(order)))
+            group = pa.table({"k1": keys[first, 0], "k2": keys[first, 1], "low": ids[first], "copies": copies, "text": t["text"].cast(pa.large_string()).take(pa.array(first))})
+            out = list(B.split_blocks(group, (keys[first, 0] % np.uint64(n)).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
 
     return pack
 
@@ -106,16 +112,12 @@ class Sets:
 
     def __init__(self, payloads: pa.ChunkedArray, words: int):
         t = B.thaw(payloads)
-        k1, k2 = np.asarray(t["k1"]), np.asarray(t["k2"])
-        low = np.concatenate([np.asarray(x.values)[np.asarray(x.offsets)[:-1]] for x in t["ids"].chunks])
-        order = np.lexsort((low, k2, k1))
-        new = np.ones(len(order), bool)
-        new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
-        self.rep = low[order[new]]
-        self.group = np.empty(len(order), np.int64)
-        self.group[order] = np.cumsum(new) - 1
-        self.ids = t["ids"]
-        buf, offs = T.utf8(t["text"].take(pa.array(order[new])))
+        k1, k2, low = (np.asarray(t[c]) for c in ("k1", "k2", "low"))
+        order, new = _grouped(k1, k2, low)
+        first = order[new]
+        self.k1, self.k2, self.rep = k1[first], k2[first], low[first]
+        self.copies = np.add.reduceat(np.asarray(t["copies"])[order], np.flatnonzero(new))
+        buf, offs = T.utf8(t["text"].take(pa.array(first)))
         parts = [shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], words) for a, b in T.chunks(offs)]
         self.shingles = np.concatenate([np.zeros(0, np.uint64), *(s for s, _ in parts)])
         self.sizes = np.concatenate([np.zeros(0, np.int64), *(np.diff(b) for _, b in parts)])
@@ -127,11 +129,10 @@ class Sets:
         return np.unique(c, return_inverse=True, return_counts=True)
 
 
-def _merge(blocks: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
-    parts = [b[0] for b in blocks]
-    distinct, at = B.merged_order(parts)
-    n = np.bincount(at, weights=np.concatenate([b[1] for b in blocks]), minlength=len(distinct))
-    return [[x] for x in B.pieces(np.minimum(n, MOST_COUNT).astype(np.uint8)[at], parts)]
+def _counts(n: int) -> B.Exchange:
+    """How many groups use each cell."""
+    add = lambda g, values, at, m: [np.minimum(np.bincount(at, weights=values[0], minlength=m), MOST_COUNT).astype(np.uint8)]
+    return B.Exchange(n, [B.Group()], add, lambda g, keys, values: values)
 
 
 def needed(t: float, a: int, b: int) -> int:
@@ -272,28 +273,29 @@ def _cluster_task(t: float, count_links: bool):
     return run
 
 
-def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shingles: int = CLUSTER_SHINGLES, count_links: bool = True) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): the size of each document's set, the smallest doc_id reachable by links, and with how many other rows it has a link (left out without count_links)."""
-    n = B.n_blocks(docs)
-    bits = min(40, max(16, math.ceil(math.log2(SPREAD * max(1, B.input_bytes(docs)) / 3))))
+FOUND = "node long, k1 long, k2 long, rep long, n long, copies long, shared binary, first array<long>"
+
+
+def _found(docs: DataFrame, words: int, threshold: float) -> tuple[DataFrame, int]:
+    """Groups of equal texts: (node, key, smallest id, set size, copies, shared shingles, those of the prefix), and the number of blocks."""
+    size = B.text_bytes(docs)
+    n, bits = B.n_blocks(docs, size), B.sketch_bits(size, SPREAD)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = plain.mapInArrow(_pack(n), "blk int, payload binary").repartition(n, "blk")
+    dealt = plain.mapInArrow(_pack(n), B.DEALT).repartition(min(n, B.MOST_PARTS), "blk")
+    exchange = _counts(n)
 
     def ask(key, table):
         cells, _, count = Sets(table["payload"], words).cells(bits)
-        e = B.shard_bounds(cells, n)
-        count = np.minimum(count, MOST_COUNT).astype(np.uint8)
-        return B.table_of([(s, key[0].as_py(), B.squeeze(cells[e[s] : e[s + 1]], count[e[s] : e[s + 1]])) for s in range(n)], B.REQUEST_ARROW)
+        return exchange.ask(key[0].as_py(), [[cells, np.minimum(count, MOST_COUNT).astype(np.uint8)]])
 
-    counts = B.answered(dealt.groupBy("blk").applyInArrow(ask, B.REQUEST), n, _merge)
+    counts = exchange.answers(dealt.groupBy("blk").applyInArrow(ask, B.MESSAGE))
 
     def prefixes(key, left, right):
-        if not left.num_rows:
-            return _found([], [], [], [], [], [], [])
-        s = Sets(left["payload"], words)
+        s = Sets(left["payload"], words) if left.num_rows else None
+        if s is None:
+            return B.table_of([], "node long, k1 long, k2 long, rep long, n long, copies long, shared binary").append_column("first", pa.array([], pa.list_(pa.int64())))
         _, place, _ = s.cells(bits)
-        answers = B.answers_of(right)
-        count = np.concatenate([a[0] for a in answers])[place]
+        count = exchange.read(right)[0][0][0][place]
         owner = np.repeat(np.arange(len(s.rep)), s.sizes)
         order = np.lexsort((s.shingles, count, owner))
         shingles, count = s.shingles[order], count[order]
@@ -301,62 +303,97 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shi
         limit = s.sizes - -(-round(threshold * 100) * s.sizes // 100) + 1
         shared = count > 1
         first = shared & (rank < np.repeat(limit, s.sizes))
-        alone = T.sums_by(first, s.bounds) == 0
-        copies = np.bincount(s.group, weights=[len(ids) for ids in s.ids], minlength=len(s.rep)).astype(np.int64)
-        seen = set()
-        rows = ([], [], [], [], [], [], [])
-        for k, ids in zip(s.group.tolist(), s.ids, strict=True):
-            a, b = s.bounds[k], s.bounds[k + 1]
-            tell = k not in seen and not alone[k]
-            seen.add(k)
-            rows[0].append(ids.as_py())
-            rows[1].append(int(s.rep[k]))
-            rows[2].append(int(s.sizes[k]))
-            rows[3].append(shingles[a:b][shared[a:b]][::-1].tobytes() if tell else None)
-            rows[4].append(shingles[a:b][first[a:b]].view(np.int64) if tell else None)
-            rows[5].append(key[0].as_py() << NODE_BITS | k)
-            rows[6].append(int(copies[k]))
-        return _found(*rows)
-
-    found = B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(prefixes, "ids array<long>, rep long, n long, shared binary, first array<long>, node long, copies long"))
+        tell = T.sums_by(first, s.bounds) > 0
+        both = [np.concatenate([[0], np.cumsum(T.sums_by(m, s.bounds))]) for m in (shared, first)]
+        kept, prefix = shingles[shared], pa.array(shingles[first].view(np.int64))
+        told = [kept[a:b][::-1].tobytes() if t else None for a, b, t in zip(both[0][:-1], both[0][1:], tell.tolist(), strict=True)]
+        at = pa.array([a if t else None for a, t in zip(both[1][:-1].tolist(), tell.tolist(), strict=True)] + [int(both[1][-1])], pa.int32())
+        return pa.table({
+            "node": (key[0].as_py() << NODE_BITS) + np.arange(len(s.rep)), "k1": s.k1.view(np.int64), "k2": s.k2.view(np.int64), "rep": s.rep, "n": s.sizes, "copies": s.copies,
+            "shared": pa.array(told, pa.binary()), "first": pa.ListArray.from_arrays(at, prefix),
+        })
+
+    return B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(prefixes, FOUND)), n
+
+
+def _tasks(members: DataFrame, n: int, threshold: float, cluster_shingles: int) -> DataFrame:
+    """Members of clusters by task: one for a small cluster, one for each pair of parts of a large one that can have links."""
+    # sizes of linked sets differ by 1 / threshold at most: never by two bands
+    banded = members.withColumn("band", F.floor(F.log(F.col("n")) / math.log(1.01 / threshold)).cast("long"))
+    bands = banded.groupBy("cluster", "band").agg(F.sum(F.length("shared") / 8).alias("size"), F.count(F.lit(1)).alias("rows"))
+    parts = F.collect_list(F.struct(F.col("band"), F.ceil(F.col("size") / cluster_shingles).cast("long").alias("parts")))  # an entry for each band: a logarithm of the longest text
+    shapes = bands.groupBy("cluster").agg(F.sum("size").alias("size"), F.sum("rows").alias("rows"), F.map_from_entries(parts).alias("parts")).where("rows > 1").drop("rows")
+    code = lambda band, part: F.shiftleft(band, 20) + part
+    count = lambda band: F.coalesce(F.col("parts")[band], F.lit(0).cast("long"))
+    to = lambda m: F.when(m > 0, F.sequence(F.lit(0).cast("long"), m - 1)).otherwise(F.array().cast("array<long>"))
+    band, part = F.col("band"), F.col("part")
+    pairs = F.concat(
+        F.transform(to(count(band)), lambda q: F.struct(code(band, F.least(part, q)).alias("i"), code(band, F.greatest(part, q)).alias("j"))),
+        F.transform(to(count(band + 1)), lambda q: F.struct(code(band, part).alias("i"), code(band + 1, q).alias("j"))),
+        F.transform(to(count(band - 1)), lambda q: F.struct(code(band - 1, q).alias("i"), code(band, part).alias("j"))),
+    )
+    one = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))
+    whole = F.col("size") <= cluster_shingles
+    return (
+        banded.join(shapes, "cluster")
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.greatest(count(F.col("band")), F.lit(1).cast("long"))))
+        .withColumn("whole", whole)
+        .withColumn("pair", F.explode(F.when(F.col("whole"), one).otherwise(pairs)))
+        .withColumn("code", F.when(F.col("whole"), F.lit(0).cast("long")).otherwise(code(F.col("band"), F.col("part"))))
+        .select("node", "n", "copies", "shared", "cluster", F.col("code").alias("part"), "pair.i", "pair.j", F.when(F.col("whole"), F.pmod(F.xxhash64("cluster"), F.lit(8 * n))).otherwise(F.xxhash64("cluster", "pair.i", "pair.j")).alias("bin"))
+    )
+
+
+def _classes(docs: DataFrame, words: int, threshold: float, cluster_shingles: int, count_links: bool) -> DataFrame:
+    """(k1, k2, n, copies, rep, least, first, links): each group with the smallest id of its class, whether it is the class's first group, and its links with other groups."""
+    found, n = _found(docs, words, threshold)
     probes = found.where("first is not null").select("node", F.explode("first").alias("shingle"))
     least = probes.groupBy("shingle").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").drop("most")
     clusters = B.written(components(probes.join(least, "shingle").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster"))
-    members = B.written(found.where("shared is not null").select("node", "rep", "n", "copies", "shared").join(clusters, "node"))
-    size = members.groupBy("cluster").agg(F.sum(F.length("shared") / 8).alias("size"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    parts = F.ceil(F.col("size") / cluster_shingles).cast("int")
-    tasks = (
-        members.join(size.select("cluster", parts.alias("parts")), "cluster")
-        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("i", F.least("part", "other"))
-        .withColumn("j", F.greatest("part", "other"))
-        .withColumn("bin", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(8 * n))).otherwise(F.xxhash64("cluster", "i", "j")))
-        .select("node", "n", "copies", "shared", "cluster", "part", "i", "j", "bin")
-    )
-    links = B.written(tasks.groupBy("bin").applyInArrow(_cluster_task(threshold, count_links), "a long, b long, links long"))
+    members = B.written(found.where("shared is not null").select("node", "n", "copies", "shared").join(clusters, "node"))
+    links = B.written(_tasks(members, n, threshold, cluster_shingles).groupBy("bin").applyInArrow(_cluster_task(threshold, count_links), "a long, b long, links long"))
     nodes = components(links)
-    least = nodes.join(members.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
-    joined = found.select("ids", "node", "rep", "n", "copies").join(nodes.join(least, "component").select("node", "least"), "node", "left")
-    known = lambda c: F.when(c != B.NO_ID, c)
-    columns = [known(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))).alias("component_id")]
-    counted = ["n", F.explode("ids").alias("doc_id"), F.coalesce("least", "rep").alias("component")]
+    groups = found.select("node", "k1", "k2", "n", "copies", "rep")
+    least = nodes.join(groups.select("node", "rep"), "node").groupBy("component").agg(F.min(F.struct("rep", "node")).alias("low"))
+    out = groups.join(nodes.join(least, "component").select("node", "low"), "node", "left")
     if count_links:
-        counts = links.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-        joined = joined.join(counts, "node", "left")
-        counted.append(F.when(F.col("n") == 0, 0).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
-        columns.append(F.col("n_links"))
-    return joined.select(*counted).select(*columns)
+        out = out.join(links.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), "node", "left")
+    else:
+        out = out.withColumn("links", F.lit(0).cast("long"))
+    return out.select("k1", "k2", "n", "copies", "rep", F.coalesce("low.rep", "rep").alias("least"), F.coalesce(F.col("low.node") == F.col("node"), F.lit(True)).alias("first"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def _keyed(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Columns of docs with the key of each row's words."""
+
+    def run(batches):
+        for batch in batches:
+            k = sequence_keys(batch["_text"])
+            rest = [c for c in batch.schema.names if c != "_text"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in rest), pa.array(k[:, 0].view(np.int64)), pa.array(k[:, 1].view(np.int64))], [*rest, "k1", "k2"])
 
+    rows = docs.select(F.col("text").cast("string").alias("_text"), *[c.alias(name) for name, c in columns.items()])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    return rows.mapInArrow(run, f"{fields}, k1 long, k2 long")
 
-def _found(ids, rep, n, shared, first, node, copies) -> pa.Table:
-    return pa.table({"ids": pa.array(ids, pa.list_(pa.int64())), "rep": pa.array(rep, pa.int64()), "n": pa.array(n, pa.int64()), "shared": pa.array(shared, pa.binary()), "first": pa.array(first, pa.list_(pa.int64())), "node": pa.array(node, pa.int64()), "copies": pa.array(copies, pa.int64())})
+
+def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shingles: int = CLUSTER_SHINGLES, count_links: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): the size of each document's set, the smallest doc_id reachable by links, and with how many other rows it has a link (left out without count_links)."""
+    classes = _classes(docs, words, threshold, cluster_shingles, count_links)
+    rows = _keyed(docs, {"doc_id": F.col("doc_id").cast("long")}).join(classes, ["k1", "k2"])
+    alone = F.col("n") == 0
+    component = F.when(alone, F.col("doc_id")).when(F.col("least") != B.NO_ID, F.col("least"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")]
+    if count_links:
+        columns.append(F.when(alone, 0).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"))
+    return rows.select(*columns)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Rows of docs that are the first of their class; of rows with one doc_id one stays, rows without doc_id all go or stay as their class has another or not."""
-    keep = similar(docs, words, threshold, count_links=False).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("_id"))).withColumn("nth", nth)
-    return kept.where("nth = 1 or id is null").select("row.*")
+    """Whole rows of docs: of each class one row, with the smallest doc_id; rows without words link with nothing and stay. Classes are those of texts, so rows without doc_id or with a repeated one are judged each by its text."""
+    classes = _classes(docs, words, threshold, CLUSTER_SHINGLES, False)
+    whole = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(B.NO_ID))}
+    # inside Python the row is opaque: it goes through as it is
+    rows = _keyed(docs, whole).join(classes.where("first or n = 0"), ["k1", "k2"]).where("n = 0 or id = rep")
+    one = rows.where("n > 0").dropDuplicates(["k1", "k2"])
+    return one.select("row.*").unionByName(rows.where("n = 0").select("row.*"))

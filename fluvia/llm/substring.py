@@ -1,12 +1,14 @@
 """Removal of passages that an earlier document has, behind a count-min prefilter.
 
-Pass 1: each block of documents writes its distinct window hashes into the
-cells of a count-min sketch (``ROWS`` rows); the sketch is sharded by cell, so
-its width follows the corpus. A cell's merged count is never below a window's
-true count of blocks and of repeats inside a block, so a window with a cell
-that only one window of the corpus uses occurs once and is done.
-Pass 2: only windows whose every cell is shared go to an exact grouping by a
-128-bit hash of their words, which finds the smallest doc_id of each.
+Pass 1: each block of documents writes its window hashes into the cells of a
+count-min sketch (``ROWS`` rows), merged over all blocks by ``_blocks``; its width
+follows the bytes of the corpus. A cell's merged count (kept as once or more) is
+never below a window's true count, so a window with a cell that is used once
+occurs once and is done.
+Pass 2: only windows whose every cell is shared go to a grouping that finds the
+smallest doc_id of each. Windows are the same there if two independent 64-bit
+hashes of their words are (128 bits: among 2e13 windows, those of 100 TB, the
+chance of one wrong pair is under 1e-12).
 Pass 3: each block cuts the words that its repeated windows cover.
 
 Null text has no words. A row whose doc_id is null counts as larger than all
@@ -18,7 +20,6 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -31,25 +32,22 @@ from fluvia.llm import _text as T
 
 ROWS = 2
 #: Cells of a sketch row for each word of the corpus, about.
-SPREAD = 8
+SPREAD = 4
 
 
-def _windows(table: pa.Table, width: int):
-    """All windows of a block: (hash, second hash, row, first word in the row), and the words' byte spans by chunk."""
+def _windows(table: pa.Table, width: int, lane: int = 0):
+    """All windows of a block: (hash, row, first word in the row)."""
     buf, offs = T.utf8(table["text"])
-    h1, h2, row, pos = [], [], [], []
+    h, row, pos = [], [], []
     for a, b in T.chunks(offs):
         w = T.Words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-        words = w.hashes()
-        x, at = T.ngrams(words, w.counts, width)
-        y, _ = T.ngrams(words, w.counts, width, salt=1)
+        x, at = T.ngrams(w.hashes(lane=lane), w.counts, width)
         d = w.doc[at]
-        h1.append(x)
-        h2.append(y)
+        h.append(x)
         row.append((d + a).astype(np.int32))
         pos.append((at - w.first[d]).astype(np.int32))
     cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return cat(h1, np.uint64), cat(h2, np.uint64), cat(row, np.int32), cat(pos, np.int32)
+    return cat(h, np.uint64), cat(row, np.int32), cat(pos, np.int32)
 
 
 def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -58,74 +56,52 @@ def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return h >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
-def _sketch(h: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _sketch(h: np.ndarray, bits: int) -> list[list[np.ndarray]]:
     """Of each row the sorted cells in use, and whether the block alone uses a cell twice."""
     out = []
     for r in range(ROWS):
         cells, n = np.unique(_cells(h, r, bits), return_counts=True)
-        out.append((cells, n > 1))
+        out.append([cells, n > 1])
     return out
 
 
-def _merge_cells(blocks: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
-    answers = [[] for _ in blocks]
-    for r in range(ROWS):
-        parts = [b[2 * r] for b in blocks]
-        distinct, at = B.merged_order(parts)
-        n = np.bincount(at, weights=np.concatenate([1 + np.unpackbits(b[2 * r + 1], count=len(p)) for b, p in zip(blocks, parts, strict=True)]), minlength=len(distinct))
-        for answer, x in zip(answers, B.pieces((n > 1)[at], parts), strict=True):
-            answer.append(np.packbits(x))
-    return answers
+def sketches(n: int) -> B.Exchange:
+    """Which cells more than one window of the corpus uses."""
+    twice = lambda g, values, at, m: [(np.bincount(at, minlength=m) > 1) | (np.bincount(at, weights=values[0], minlength=m) > 0)]
+    return B.Exchange(n, [B.Group() for _ in range(ROWS)], twice, lambda g, keys, values: values)
 
 
-def _merge_exact(blocks: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+def owners(n: int) -> B.Exchange:
     """Whether a block holds the smallest doc_id of each of its windows."""
-    h1, h2, low = (np.concatenate([b[k] for b in blocks]) for k in range(3))
-    order = np.lexsort((h2, h1))
-    new = np.ones(len(order), bool)
-    new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
-    if not len(order):
-        return [[np.zeros(0, np.uint8)] for _ in blocks]
-    least = np.minimum.reduceat(low[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-    own = np.empty(len(order), bool)
-    own[order] = least == low[order]
-    return [[np.packbits(x)] for x in B.pieces(own, [b[0] for b in blocks])]
-
-
-def _rejoined(table: pa.Table, lengths: list[np.ndarray], row: int = 0) -> np.ndarray:
-    """Bits answered by all shards, in the order of the block's request."""
-    answers = B.answers_of(table)
-    return np.concatenate([np.unpackbits(a[row], count=n).astype(bool) for a, n in zip(answers, lengths, strict=True)])
-
 
-def _suspects(h1, h2, ids, sketch, flags, bits):
-    """Distinct windows whose every cell is shared: (sorted hashes, their least doc_id, and each window's place among them or -1)."""
-    keep = np.ones(len(h1), bool)
-    for r, ((cells, _), flag) in enumerate(zip(sketch, flags, strict=True)):
-        keep &= flag[np.searchsorted(cells, _cells(h1, r, bits))] if len(cells) else True
-    at = np.flatnonzero(keep)
-    order = at[np.lexsort((ids[at], h2[at], h1[at]))]
-    new = np.ones(len(order), bool)
-    new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
-    first = order[new]
-    place = np.full(len(h1), -1, np.int64)
-    place[order] = np.cumsum(new) - 1
-    return h1[first], h2[first], ids[first], place
+    def least(g, values, at, m):
+        low = np.full(m, B.NO_ID)
+        np.minimum.at(low, at, values[0])
+        return [low]
 
+    return B.Exchange(n, [B.Group(keys=2)], least, lambda g, keys, values: [np.ones(len(keys[0]), bool)], lambda g, at, values, merged, answers: [(values[0] == merged[0][at]) & answers[0][at]])
 
-def _by_shard(blk: int, n: int, key_of: list[np.ndarray], arrays: list[list[np.ndarray]], pack=lambda x: x) -> pa.Table:
-    """Requests of a block: groups of arrays, each dealt by the sorted hashes in key_of."""
-    bounds = [B.shard_bounds(k, n) for k in key_of]
-    rows = [(s, blk, B.squeeze(*(pack(a[b[s] : b[s + 1]]) for b, group in zip(bounds, arrays, strict=True) for a in group))) for s in range(n)]
-    return B.table_of(rows, B.REQUEST_ARROW)
 
+class Suspects:
+    """Windows of a block whose every cell is shared: the distinct ones by their two hashes, and each one's place among them."""
 
-def _bits(a: np.ndarray) -> np.ndarray:
-    return np.packbits(a) if a.dtype == bool else a
-
-
-def _lengths(key: np.ndarray, n: int) -> np.ndarray:
-    return np.diff(B.shard_bounds(key, n))
+    def __init__(self, table: pa.Table, flags: list[list[np.ndarray]], width: int, bits: int):
+        h, self.row, self.pos = _windows(table, width)
+        at = np.arange(len(h))
+        for r, (flag,) in enumerate(flags):
+            cells = _cells(h, r, bits)
+            if len(at):
+                at = at[flag[np.searchsorted(np.unique(cells), cells[at])]]
+        h1, h2 = h[at], _windows(table, width, lane=1)[0][at]
+        self.row, self.pos = self.row[at], self.pos[at]
+        self.ids = B.ids_of(table["doc_id"])[self.row]
+        order = np.lexsort((self.ids, h2, h1))
+        new = np.ones(len(order), bool)
+        new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+        first = order[new]
+        self.h1, self.h2, self.low = h1[first], h2[first], self.ids[first]
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.cumsum(new) - 1
 
 
 def remove_repeats(docs: DataFrame, width: int = 13, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -135,44 +111,34 @@ def remove_repeats(docs: DataFrame, width: int = 13, carry: tuple[str, ...] = ()
     document with a smaller doc_id. ``text`` keeps its spacing where nothing
     went; kept_sha256 is of the kept words joined by single spaces.
     """
-    n = B.n_blocks(docs)
-    bits = min(40, max(16, math.ceil(math.log2(SPREAD * max(1, B.input_bytes(docs)) / 3))))
+    size = B.text_bytes(docs)
+    n, bits = B.n_blocks(docs, size), B.sketch_bits(size, SPREAD)
     dealt = B.blocks(docs, n, carry)
     kinds = [(f"carry_{k}", docs.schema[c].dataType) for k, c in enumerate(carry)]
     arrow = [(name, to_arrow_type(kind)) for name, kind in kinds]
+    shared, smallest = sketches(n), owners(n)
 
     def pass_1(key, table):
-        h1, _, _, _ = _windows(B.thaw(table["payload"]), width)
-        sketch = _sketch(h1, bits)
-        return _by_shard(key[0].as_py(), n, [c for c, _ in sketch], [[c, m] for c, m in sketch], _bits)
-
-    cells = B.answered(dealt.groupBy("blk").applyInArrow(pass_1, B.REQUEST), n, _merge_cells)
+        return shared.ask(key[0].as_py(), _sketch(_windows(B.thaw(table["payload"]), width)[0], bits))
 
-    def suspects(docs_table: pa.Table, answers: pa.Table):
-        h1, h2, row, pos = _windows(docs_table, width)
-        sketch = _sketch(h1, bits)
-        flags = [_rejoined(answers, _lengths(c, n), r) for r, (c, _) in enumerate(sketch)]
-        ids = B.ids_of(docs_table["doc_id"])[row]
-        return *_suspects(h1, h2, ids, sketch, flags, bits), ids, row, pos
+    cells = shared.answers(dealt.groupBy("blk").applyInArrow(pass_1, B.MESSAGE))
 
     def pass_2(key, left, right):
         if not left.num_rows:
-            return B.table_of([], B.REQUEST_ARROW)
-        s1, s2, low, *_ = suspects(B.thaw(left["payload"]), right)
-        return _by_shard(key[0].as_py(), n, [s1], [[s1, s2, low]])
+            return B.table_of([], B.MESSAGE)
+        s = Suspects(B.thaw(left["payload"]), shared.read(right)[0], width, bits)
+        return smallest.ask(key[0].as_py(), [[s.h1, s.h2, s.low]])
 
-    least = B.answered(dealt.groupBy("blk").cogroup(cells.groupBy("blk")).applyInArrow(pass_2, B.REQUEST), n, _merge_exact)
+    least = smallest.answers(dealt.groupBy("blk").cogroup(cells.groupBy("blk")).applyInArrow(pass_2, B.MESSAGE))
 
     def pass_3(key, left, right):
         if not left.num_rows:
             return _result([], [], [], [], [], {name: pa.array([], kind) for name, kind in arrow})
-        table = B.thaw(left["payload"])
-        exact = np.asarray(right["exact"])
-        s1, _, low, place, ids, row, pos = suspects(table, right.filter(pa.array(~exact)))
-        own = _rejoined(right.filter(pa.array(exact)), _lengths(s1, n))
-        gone = place >= 0
-        gone[gone] = ~own[place[gone]] | (ids[gone] > low[place[gone]])
-        return _cut(table, row[gone], pos[gone], width)
+        table, exact = B.thaw(left["payload"]), np.asarray(right["exact"])
+        s = Suspects(table, shared.read(right.filter(pa.array(~exact)))[0], width, bits)
+        own = smallest.read(right.filter(pa.array(exact)))[0][0][0].astype(bool)
+        gone = ~own[s.place] | (s.ids > s.low[s.place])
+        return _cut(table, s.row[gone], s.pos[gone], width)
 
     both = cells.withColumn("exact", F.lit(False)).unionByName(least.withColumn("exact", F.lit(True)))
     return dealt.groupBy("blk").cogroup(both.groupBy("blk")).applyInArrow(pass_3, ", ".join([RESULT, *(f"{name} {kind.simpleString()}" for name, kind in kinds)])).withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
@@ -206,22 +172,7 @@ def _cut(table: pa.Table, row: np.ndarray, pos: np.ndarray, width: int) -> pa.Ta
         lo, hi = np.searchsorted(row, [a, b])
         gone = T.covered(w.first[row[lo:hi] - a] + pos[lo:hi], width, len(w.starts))
         lost = T.sums_by(gone, w.first)
-        # a kept byte belongs to a kept word; each kept word but a document's first has one space before it
-        kept = ~gone
-        edge = np.zeros(len(part) + 1, np.int8)
-        edge[w.starts[kept]] += 1
-        edge[w.ends[kept]] -= 1
-        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
-        doc = w.doc[kept]
-        sep = np.zeros(len(part), np.uint8)
-        later = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-        sep[w.starts[kept][later]] = 1
-        size = inside.astype(np.int64) + sep
-        to = np.cumsum(size)
-        joined = np.full(int(to[-1]) if len(to) else 0, 32, np.uint8)
-        joined[to[inside] - 1] = part[inside]
-        ends = np.concatenate([[0], to])[offs[a : b + 1] - base]
-        raw = joined.tobytes()
+        raw, ends = T.joined_words(w, ~gone)
         # spaces after a word that goes go with it
         start_of_gap = np.zeros(len(part) + 1, np.int8)
         g = np.flatnonzero(gone)
