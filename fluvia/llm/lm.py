@@ -187,17 +187,17 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     # without training tokens there is no histogram; equal weights stand in
     learned = histogram.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(mix, "payload binary")
-    weights = docs.sparkSession.range(n).select(F.col("id").alias("blk"), F.lit(-1).alias("sub")).crossJoin(F.broadcast(learned))  # one row
+    # the one row of weights goes to the blocks, so that the answers' exchange is the same as above and is used again
+    told = dealt.join(F.broadcast(learned.withColumnRenamed("payload", "weights")), F.lit(True), "left")
 
     def score(left, right):
         if not left.num_rows:
             return pa.schema(SCORE_ARROW).empty_table()
         t = Tokens(B.thaw(left["payload"]), order, bits)
-        own = np.asarray(right["sub"]) < 0
         lam = np.full((weight_rows, order + 1), 1 / (order + 1))
-        if own.any():
-            lam = B.unsqueeze(right.filter(pa.array(own))["payload"][0].as_py())[0].reshape(lam.shape)
-        groups, sums = exchange.read(right.filter(pa.array(~own)))
+        if left["weights"][0].is_valid:
+            lam = B.unsqueeze(left["weights"][0].as_py())[0].reshape(lam.shape)
+        groups, sums = exchange.read(right)
         total, vocabulary = float(sums[1] + sums[2]), float(sums[0])
         counts = [g[0].astype(np.float64) + g[1] for g in groups]
         p, seen, row = t.estimates(counts, total, np.arange(len(t.position)))
@@ -212,7 +212,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
             schema=pa.schema(SCORE_ARROW),
         )
 
-    return dealt.groupBy("blk").cogroup(totals.unionByName(weights).groupBy("blk")).applyInArrow(score, RESULT)
+    return told.groupBy("blk").cogroup(totals.groupBy("blk")).applyInArrow(score, RESULT)
 
 
 SCORE_ARROW = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
