@@ -11,10 +11,12 @@ last two documents, the landing problem, go the way that ends nearest to the
 target; where a document far larger than the others keeps the sum off, up to
 ``REPAIRS`` settled documents of the last block turn to make up for it.
 
-Null text has size 0; null source is a source of its own, the last. Repeated
-rows count each time. Rows of size 0 are taken with 0 words. Other columns
-aren't read. The draw is a function of the rows: reruns agree. An empty table
-gives no rows.
+Rows are dealt to blocks by a hash of id, source and text and by their number
+among equal rows, so neither rows without doc_id nor those of one id meet in one
+block. Null text has size 0; null source is a source of its own, the last.
+Repeated rows count each time. Rows of size 0 are taken with 0 words. Other
+columns aren't read. The draw is a function of the rows: reruns agree. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.llm import _blocks as B
@@ -36,16 +38,22 @@ REPAIRS = 4
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 
 
+def _hash() -> Column:
+    """Tells rows apart by id, source and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): words of each document."""
+    """(doc_id, source, hash, size): words of each document."""
 
     def run(batches):
         for batch in batches:
             buf, offs = T.utf8(batch["text"])
             n = [T.Words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a]).counts for a, b in T.chunks(offs)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["source"], pa.array(np.concatenate(n) if n else [], pa.int64())], ["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["source"], batch["hash"], pa.array(np.concatenate(n) if n else [], pa.int64())], ["doc_id", "source", "hash", "size"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, source string, size long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _hash().alias("hash"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, source string, hash long, size long")
 
 
 def numbered(totals: DataFrame) -> DataFrame:
@@ -128,12 +136,13 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-OPEN = "doc_id long, source string, size long, source_size long, target double, whole int, p double, n_rows long"
+OPEN = "doc_id long, source string, hash long, nth long, size long, source_size long, target double, whole int, p double, n_rows long"
 
 
 def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken)."""
-    own = B.written(sizes(docs))
+    """(doc_id, source, hash, size, source_size, target, copies, taken)."""
+    equal = sizes(docs).groupBy("doc_id", "source", "hash", "size").agg(F.count(F.lit(1)).alias("rows"))
+    own = B.written(equal.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows"))
     totals = own.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("source_size"))
     goal = B.written(targets(totals, weights, share, most))
     most_rows = goal.agg(F.max("n_rows")).first()[0] or 0
@@ -148,7 +157,7 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
 
         def fly(table: pa.Table, level=level) -> pa.Table:
             ids, size = B.ids_of(table["doc_id"]), np.asarray(table["size"])
-            key = T.mix(ids.view(np.uint64) + np.uint64(seed + 1))
+            key = T.mix(np.asarray(table["hash"]).view(np.uint64) + T.mix(np.asarray(table["nth"]).view(np.uint64) + np.uint64(seed + 1)))
             order = np.lexsort((ids, key, -size))
             rng = np.random.default_rng([seed, level, int(key.sum() & np.uint64(2**31 - 1))])
             table, size = table.take(pa.array(order)), size[order]
@@ -157,7 +166,7 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
                 p = landing(p, size)
             return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p))
 
-        flown = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(seed + level)), blocks)).groupBy("source", "blk").applyInArrow(_without_block(fly), OPEN)
+        flown = rows.withColumn("blk", F.pmod(F.xxhash64("hash", "nth", F.lit(seed + level)), blocks)).groupBy("source", "blk").applyInArrow(_without_block(fly), OPEN)
         # a source of one block stays at one, and its open rows are looked at again each round
         flown = B.written(flown.withColumn("n_rows", 2 * F.greatest(F.ceil(F.col("n_rows") / BLOCK_ROWS), F.lit(1))))
         if last:
@@ -171,7 +180,7 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
     for x in settled[1:]:
         out = out.unionByName(x)
     copies = (F.col("whole") + F.col("p")).cast("int")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return out.select("doc_id", "source", "hash", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def _without_block(f):
@@ -179,11 +188,11 @@ def _without_block(f):
 
 
 def remixed(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """Rows of docs as often as the mix takes them. Rows of one doc_id share what was drawn for them."""
-    drawn = mixed(docs, seed).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
-    joined = rows.join(drawn, F.col("id").eqNullSafe(F.col("doc_id"))).where("_copies > 0")
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    """Whole rows of docs as often as the mix takes them; equal rows (id, source and text) share what was drawn for them. Null ids, sources and texts are treated as by ``mixed``; an empty table gives no rows."""
+    drawn = mixed(docs, seed).groupBy("doc_id", "hash").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), _hash().alias("key"))
+    joined = rows.join(drawn, (F.col("key") == F.col("hash")) & F.col("id").eqNullSafe(F.col("doc_id")))
+    nth = F.row_number().over(Window.partitionBy("key", "id").orderBy("key"))
     each = F.floor((F.col("_copies") + F.col("_rows") - nth) / F.col("_rows"))
-    taken = joined.withColumn("each", F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each).cast("int")).where("each > 0")
+    taken = joined.withColumn("each", each.cast("int")).where("each > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("each")))).select("row.*")
