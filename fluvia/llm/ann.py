@@ -4,10 +4,10 @@ Vectors are dealt into shards of about ``SHARD_ROWS`` rows. Each shard grows
 ``TREES`` trees; a node halves its rows at the median of their projection on the
 difference of two of them. A query walks all trees of a shard through one
 shared priority queue, ordered by the widest margin that a path has crossed,
-until the leaves hold ``SHARE`` of the shard (``LEAST`` rows at least); the candidates' exact distances
-give the shard's best, and the best of all shards are the result. Queries meet
-shards in groups of bounded size, so no task holds more than a shard and a
-group. Every vector is indexed.
+until the leaves hold ``share`` of the shard's vec_ids, and k at least; the
+candidates' exact distances give the shard's best, and the best of all shards are
+the result. Queries meet shards in groups of bounded size, so no task holds more
+than a shard and a group. Every vector is indexed.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
 rows without vec_id, take no part. Vectors are near only to those of their own
@@ -30,8 +30,6 @@ from fluvia.llm import _blocks as B
 
 SHARD_ROWS, QUERY_ROWS = 8192, 16384
 TREES, LEAF, SHARE = 8, 48, 0.62
-#: Candidates of a shard at least; smaller shards are searched whole.
-LEAST = 1024
 
 
 class Forest:
@@ -56,9 +54,9 @@ class Forest:
             return rows  # all alike here
         return direction, cut, self._grow(rows[low], rng), self._grow(rows[~low], rng)
 
-    def candidates(self, q: np.ndarray, least: int) -> np.ndarray:
-        """Rows of the leaves that the queue reaches first, at least so many of them."""
-        seen = np.zeros(len(self.x), bool)
+    def candidates(self, q: np.ndarray, least: int, names: np.ndarray) -> np.ndarray:
+        """Rows of the leaves that the queue reaches first, until they have so many different names (numbers from 0)."""
+        seen, named = np.zeros(len(self.x), bool), np.zeros(int(names.max()) + 1, bool)
         queue = [(0.0, k, root) for k, root in enumerate(self.roots)]
         ticket, found = len(queue), 0
         while queue and found < least:
@@ -69,8 +67,10 @@ class Forest:
                 node, far = (high, low) if side >= 0 else (low, high)
                 heapq.heappush(queue, (max(margin, abs(side)), ticket, far))
                 ticket += 1
-            found += len(node) - int(seen[node].sum())
             seen[node] = True
+            new = names[node]
+            found += len(np.unique(new[~named[new]]))
+            named[new] = True
         return np.flatnonzero(seen)
 
 
@@ -88,9 +88,10 @@ def _search(k: int, share: float):
             ids, x = ids[order], _matrix(left["x"].take(pa.array(order)), dim)
             qids, q = qids[q_order], _matrix(right["q"].take(pa.array(q_order)), dim)
             forest = Forest(x, seed=key[1].as_py())
-            least = max(k + 1, LEAST, math.ceil(share * len(x)))
+            different, names = np.unique(ids, return_inverse=True)
+            least = max(k + 1, math.ceil(share * len(different)))
             for name, v in zip(qids.tolist(), q, strict=True):
-                rows = forest.candidates(v, least)
+                rows = forest.candidates(v, least, names)
                 rows = rows[ids[rows] != name]
                 d = x[rows] - v
                 score = np.sqrt(np.einsum("ij,ij->i", d, d))
