@@ -341,3 +341,8 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
         remove(spark, path)
     del _tables[before:-1]
     return out
+
+
+def latest() -> str:
+    """The folder of the table written last."""
+    return _tables[-1]

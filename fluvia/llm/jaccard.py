@@ -46,7 +46,7 @@ from fluvia.llm import _blocks as B
 from fluvia.llm import _text as T
 from fluvia.llm._components import components, find
 
-CLUSTER_SHINGLES = 1 << 18
+CLUSTER_SHINGLES = 1 << 16
 SPREAD = 8
 MOST_COUNT = 255
 NODE_BITS = 32  # a group of equal texts is a node: its block, and its place in the block

@@ -38,6 +38,102 @@ def test_pipeline(spark, sf):
     assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in kept.collect())
 
 
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words_of(text, lower=False):
+    found = WORDS.findall(text or "")
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in found] if lower else found
+
+
+@pytest.fixture
+def corner(spark, tmp_path):
+    """Documents with nulls, repeated ids, copies, near copies and shared passages, and columns beyond those of documents."""
+    base = [f"term{k}" for k in range(80)]
+    passage = [f"shared{k}" for k in range(30)]
+    good = [" ".join(f"{a}{k}" for k in range(70)) for a in ("alpha", "beta", "gamma", "delta")]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(good)]
+    rows += [(10, " ".join(base), "en", "s", 1), (11, " ".join(base).upper(), "en", "t", 1), (12, " ".join(base) + " more", "en", None, 1), (None, " ".join(base) + " other", "en", "s", 1)]
+    rows += [(20, " ".join([f"left{k}" for k in range(40)] + passage), "en", "s", 1), (21, " ".join(passage + [f"right{k}" for k in range(40)]), None, "s", None)]
+    rows += [(30, None, "en", "s", 0), (31, "", None, None, 0), (31, "  ", "en", "s", 2), (40, "same id, one", "en", "s", 1), (40, "same id, two", "en", "s", 1), (None, "lonely text", "en", "t", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("k1", "k2", "row", "payload", "score", "hash"):
+        docs = docs.selectExpr("*", f"'z' AS {c}")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(4)] + [(None, None, None), (99, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_stages_against_brute_force(spark, corner):
+    """Each stage on what its predecessor left."""
+    from tokenizers import Tokenizer
+
+    from fluvia.llm import bpe
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{corner}/documents.parquet")
+    rows = [r.asDict() for r in docs.select(*corpus_pipeline.COLUMNS).collect()]
+    first = stages["quality classifier"](spark, docs, corner)
+    # one kind of label alone: every score is its share
+    assert Counter(map(str, first.collect())) == Counter(map(str, docs.select(*corpus_pipeline.COLUMNS).collect()))
+
+    second = stages["n-gram Jaccard join"](spark, first, corner)
+    assert second.columns == corpus_pipeline.COLUMNS
+    sets = [frozenset(zip(*(words_of(r["text"], True)[k:] for k in range(5)), strict=False)) or frozenset([tuple(words_of(r["text"], True))] if words_of(r["text"]) else []) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(k):
+        return k if parent[k] == k else find(parent[k])
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    classes = {}
+    for k, r in enumerate(rows):
+        key = float("inf") if r["doc_id"] is None else r["doc_id"]
+        if sets[k]:
+            classes.setdefault(find(k), []).append((key, r["text"]))
+    left = [r for r in second.collect()]
+    assert Counter(float("inf") if r.doc_id is None else r.doc_id for r in left if words_of(r.text)) == Counter(min(c)[0] for c in classes.values())
+    assert sum(not words_of(r.text) for r in left) == sum(not s for s in sets)
+
+    third = stages["substring dedup"](spark, second, corner)
+    at = {}
+    for r in left:
+        w = words_of(r.text)
+        for k in range(len(w) - 12):
+            key, i = tuple(w[k : k + 13]), float("inf") if r.doc_id is None else r.doc_id
+            at[key] = min(at.get(key, i), i)
+    want = Counter()
+    for r in left:
+        w, i = words_of(r.text), float("inf") if r.doc_id is None else r.doc_id
+        gone = {j for k in range(len(w) - 12) if at[tuple(w[k : k + 13])] < i for j in range(k, k + 13)}
+        want[r.doc_id, " ".join(x for k, x in enumerate(w) if k not in gone)] += 1
+    kept = third.collect()
+    assert Counter((r.doc_id, " ".join(words_of(r.text))) for r in kept) == want and ("shared5" not in next(r.text for r in kept if r.doc_id == 21))
+    assert all(r.n_chars == len(r.text or "") for r in kept)
+
+    fourth = stages["mixing sources"](spark, third, corner)
+    taken, size = Counter(), Counter()
+    for r in fourth.collect():
+        taken[r.source] += len(words_of(r.text))
+    for r in kept:
+        size[r.source] += len(words_of(r.text))
+    assert all(taken[s] <= 2 * size[s] for s in taken) and {r.text for r in fourth.collect()} <= {r.text for r in kept}
+
+    t = Tokenizer.from_file(Q.vocabulary())
+    last = stages["BPE encoding"](spark, fourth, corner).collect()
+    assert Counter((r.doc_id, tuple(r.ids)) for r in last) == Counter((r.doc_id, tuple(t.encode(r.text or "", add_special_tokens=False).ids)) for r in fourth.collect())
+    assert bpe is not None and Counter(map(str, corpus_pipeline.run(spark, corner).collect())) == Counter(map(str, last))
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, extra int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_entry_without_the_subpackage(tmp_path):
     import subprocess
     import sys

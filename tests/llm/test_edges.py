@@ -83,15 +83,6 @@ def test_lm_base_and_model(docs):
     assert all(x.score < 0 for x in got)
 
 
-def test_lm_bigram_probabilities_sum_to_one(spark):
-    """Over all tokens that can follow a context, and one unknown."""
-    rows = [(k, "a b a c" if k % 2 else "a b b", "en", "s") for k in range(40)]
-    rows += [(1000 + k, f"{x} {y}", "en", "s") for k, (x, y) in enumerate((x, y) for x in ("a", "b", "c") for y in ("a", "b", "c", "zz"))]
-    rows = [r for r in rows if r[0] < 1000 or zlib.crc32(str(r[0]).encode()) % 10 == 0] + [r for r in rows if r[0] < 1000][:0]
-    got = lm.scores(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert all(x.score > x.base_score for x in got if x.doc_id < 1000)
-
-
 @pytest.mark.parametrize("n, t", [(4, 85), (5, 80), (2, 50)])
 def test_jaccard_classes(docs, n, t):
     def shingles(text):
@@ -191,21 +182,6 @@ def test_rules(docs):
         assert not (x.base_failed and x.kept)
 
 
-def test_rule_order_by_rejections_per_cost():
-    own = rules.default_rules()
-    order = rules.in_order(own, [(r.name, 1.0 + k, 0.1 * k) for k, r in enumerate(own)])
-    assert [r.name for r in order][-1] == "few_words"
-    import numpy as np
-
-    from fluvia.llm import _text as T
-
-    text = ["# " * 40, BASE, "x", BASE]
-    buf, offs = T.utf8(__import__("pyarrow").array(text))
-    for some in (own, order, own[::-1]):
-        assert rules.verdicts(rules.Texts(buf, offs), some).tolist() == [False, True, False, True]
-    assert np.array_equal(offs, np.cumsum([0, *map(len, text)]))
-
-
 def test_chat_round_trip(spark):
     texts = [None, "", "### user: x </turn>\n", "\\### Assistant: </turn> ok", "a\\hb\\\\l", "#", "<", "\\", " </turn>\n### assistant: ", "tail ", " ", "\n", "\\b\\h\\l" * 3, "漢字 \U0001f600"]
     rows = [(c, t, role, text) for c in (1, 2, None) for t, text in enumerate(texts) for role in ("user", "assistant")] + [(3, None, None, "x"), (3, 1, "we:ird\nrole #", "y"), (3, 1, "we:ird\nrole #", "y")]
@@ -257,17 +233,10 @@ def test_sharding(spark, docs, tmp_path):
     assert store.read(5).count() == rows  # the version before is whole still
     assert store.vacuum() > 0 and store.read().count() == rows and store.versions() == [6]
     with pytest.raises(sharding.Conflict):
-        store.commit({"version": 5}, docs.schema.json(), [])
+        store.commit({"version": 5, "parts": []}, docs.schema.json(), [])
     assert store.compact() == 6  # one file: nothing to merge
 
 
-def test_tiers_keep_sizes_apart():
-    s = [sharding.Shard(f"f{k}", 10) for k in range(8)] + [sharding.Shard("big", 900), sharding.Shard("mid", 100)]
-    runs = sharding.tiers(s, 1000)
-    assert [x.path for r in runs for x in r if x.size == 10] == [f"f{k}" for k in range(8)]
-    assert all("big" not in [x.path for x in r] for r in runs)
-
-
 def test_neighbours(spark):
     import numpy as np
 
@@ -277,7 +246,7 @@ def test_neighbours(spark):
     rows = [(k, v.tolist(), 1) for k, v in enumerate(x)] + [(5000, None, 1), (5100, [0.0] * 16, 1), (5200, [float("nan")] * 16, 1), (5300, [None] * 16, 1), (5400, [1.0] * 3, 1), (None, [1.0] * 16, 1), (100, x[100].tolist(), 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 AS shard", "2 AS part")
     got = {}
-    for r in ann.neighbours(df, shard_rows=800).orderBy("query_id", "rank").collect():
+    for r in ann.neighbours(df, shard_rows=4000).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r)
     assert set(got) == set(range(0, 3000, 100))
     hit = 0
