@@ -1,7 +1,10 @@
 """A corpus pipeline: classify, drop near copies, cut repeated passages, mix sources, encode.
 
 Each stage takes all rows that the one before it kept and returns the columns of
-documents; the last returns token ids.
+documents; the last returns token ids. Further columns of the input are left out.
+Null texts are empty: they have words for no stage, and are judged, kept, mixed (as
+rows of size 0) and encoded (to no tokens) like any other. Rows without doc_id or
+with a repeated one are judged each by its own text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +45,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = B.written(stage(spark, docs, sf_dir))
+        # what a stage writes on its way, and its predecessor's rows, go once its own are written
+        docs = B.settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if before:
+            B.remove(spark, before)
+        before = B.latest()
     return STAGES[-1][1](spark, docs, sf_dir)
