@@ -21,6 +21,11 @@ def mosaic(obs: DataFrame, bands: Sequence[str], day: str = "date") -> DataFrame
     return obs.groupBy(*CELL, day).agg(*[F.min(b).alias(b) for b in bands])
 
 
+def highest(tiles: DataFrame, bands: Sequence[str]) -> DataFrame:
+    """The greatest value of overlapping tiles in each cell."""
+    return tiles.groupBy(*CELL).agg(*[F.max(b).alias(b) for b in bands])
+
+
 def median_composite(obs: DataFrame, bands: Sequence[str]) -> DataFrame:
     return obs.groupBy(*CELL).agg(*[F.median(b).alias(b) for b in bands])
 

@@ -13,22 +13,30 @@ def odd_size(metres: float, res: float) -> int:
     return round(metres / res) | 1
 
 
-def _along(cells: DataFrame, value: Column, line: str, axis: str, size: int, n: int, total: bool = True) -> Column:
-    r = size // 2
+def _along(value: Column, line: str, axis: str, r: int, n: int) -> tuple[Column, Column, Column]:
+    """A line's running sum, its whole sum, and what its repeated edge adds to a box of r cells each way."""
     w = Window.partitionBy(line).orderBy(axis)
-    span = w.rangeBetween(-r, r)
-    if not total:
-        return F.min(value).over(span)
-    every = w.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = F.sum(F.coalesce(value, F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first, last = F.first(value).over(every), F.last(value).over(every)
     before, after = F.greatest(F.lit(r) - F.col(axis), F.lit(0)), F.greatest(F.col(axis) + r - (n - 1), F.lit(0))
-    return F.sum(value).over(span) + before * first + after * last
+    return upto, F.sum(F.coalesce(value, F.lit(0.0))).over(every), before * first + after * last
+
+
+def _box(cells: DataFrame, value: str, line: str, axis: str, size: int, n: int, out: str) -> DataFrame:
+    """Sums over a box are differences of a line's running sums, whatever the size of the box; the line's cells follow each other without gaps."""
+    r = size // 2
+    w = Window.partitionBy(line).orderBy(axis)
+    upto, whole, edge = _along(F.col(value), line, axis, r, n)
+    x = cells.withColumn("_u", upto).withColumn("_w", whole).withColumn("_e", edge)
+    inside = F.coalesce(F.lead("_u", r).over(w), F.col("_w")) - F.coalesce(F.lag("_u", r + 1).over(w), F.lit(0.0))
+    return x.withColumn(out, inside + F.col("_e")).drop("_u", "_w", "_e")
 
 
 def box_sum(cells: DataFrame, value: str, size: int, n_rows: int, n_cols: int, out: str) -> DataFrame:
     """Sum over a size x size box of a full grid, its edge repeated outwards."""
-    across = cells.withColumn("_across", _along(cells, F.col(value), "row", "col", size, n_cols))
-    return across.withColumn(out, _along(across, F.col("_across"), "col", "row", size, n_rows)).drop("_across")
+    across = _box(cells, value, "row", "col", size, n_cols, "_across")
+    return _box(across, "_across", "col", "row", size, n_rows, out).drop("_across")
 
 
 def box_mean(cells: DataFrame, value: str, size: int, n_rows: int, n_cols: int, out: str = "box_mean") -> DataFrame:
@@ -44,8 +52,9 @@ def known_box_mean(cells: DataFrame, value: str, size: int, n_rows: int, n_cols:
 
 
 def box_min(cells: DataFrame, value: str, size: int, out: str = "box_min") -> DataFrame:
-    across = cells.withColumn("_across", _along(cells, F.col(value), "row", "col", size, 0, total=False))
-    return across.withColumn(out, _along(across, F.col("_across"), "col", "row", size, 0, total=False)).drop("_across")
+    r = size // 2
+    least = lambda c, line, axis: F.min(c).over(Window.partitionBy(line).orderBy(axis).rangeBetween(-r, r))
+    return cells.withColumn("_across", least(value, "row", "col")).withColumn(out, least("_across", "col", "row")).drop("_across")
 
 
 def slope(cells: DataFrame, value: str, res: float, out: str = "slope") -> DataFrame:
@@ -65,15 +74,29 @@ def offsets(k: int, cross: bool) -> list[tuple[int, int]]:
     return [(a, b) for a in range(-k, k + 1) for b in range(-k, k + 1) if not cross or abs(a) + abs(b) <= k]
 
 
+def _runs(mask: DataFrame) -> DataFrame:
+    """(row, low, high): the runs of a mask's cells in each row."""
+    w = Window.partitionBy("row").orderBy("col")
+    x = mask.select("row", "col").distinct().withColumn("_g", F.col("col") - F.row_number().over(w))
+    return x.groupBy("row", "_g").agg(F.min("col").alias("low"), F.max("col").alias("high")).drop("_g")
+
+
+def _spread(mask: DataFrame, k: int, cross: bool, grow: int) -> DataFrame:
+    """Each run in each of the 2 k + 1 rows around it, longer (grow 1) or shorter (-1) at both ends by the steps left."""
+    steps = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(grow * (k - abs(d) if cross else k)).alias("by")) for d in range(-k, k + 1)])
+    s = _runs(mask).withColumn("s", F.explode(steps))
+    return s.select((F.col("row") + F.col("s.d")).alias("row"), (F.col("low") - F.col("s.by")).alias("low"), (F.col("high") + F.col("s.by")).alias("high")).where("low <= high")
+
+
 def dilate(mask: DataFrame, k: int, cross: bool = True) -> DataFrame:
-    """Cells (row, col) within k steps of mask's cells."""
-    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in offsets(k, cross)])
-    return mask.select((F.col("row")).alias("_r"), F.col("col").alias("_c"), F.explode(steps).alias("s")).select((F.col("_r") + F.col("s.a")).alias("row"), (F.col("_c") + F.col("s.b")).alias("col")).distinct()
+    """Cells (row, col) within k steps of mask's cells: the union of spread runs of each row."""
+    w = Window.partitionBy("row").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    x = _spread(mask, k, cross, 1).withColumn("_b", F.max("high").over(w))
+    fresh = x.withColumn("low", F.greatest("low", F.coalesce(F.col("_b") + 1, F.col("low")))).where("low <= high")
+    return fresh.select("row", F.explode(F.sequence("low", "high")).alias("col"))
 
 
 def erode(mask: DataFrame, k: int, cross: bool = True) -> DataFrame:
-    """Cells whose whole neighbourhood is mask; what lies outside the grid is not."""
-    n = len(offsets(k, cross))
-    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in offsets(k, cross)])
-    hits = mask.select("row", "col").distinct().select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.explode(steps).alias("s"))
-    return hits.groupBy((F.col("_r") + F.col("s.a")).alias("row"), (F.col("_c") + F.col("s.b")).alias("col")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n).select("row", "col")
+    """Cells whose whole neighbourhood is mask; what lies outside the grid is not. A cell is left if it is in a shortened run of all 2 k + 1 rows around it."""
+    x = _spread(mask, k, cross, -1).select("row", F.explode(F.sequence("low", "high")).alias("col"))
+    return x.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 2 * k + 1).select("row", "col")

@@ -20,15 +20,26 @@ CELL = ["row", "col"]
 TILE = 256
 WIDE = 1 << 31
 _own: dict[str, str] = {}
+_roots: set[str] = set()
 
 
 def written(df: DataFrame) -> DataFrame:
+    """The frame written to the folder that the cluster shares and read again: its lineage ends there."""
     spark = df.sparkSession
+    app = spark.sparkContext.applicationId
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        app = spark.sparkContext.applicationId
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = _own[app] = _own.get(app) or "file://" + tempfile.mkdtemp(prefix="fluvia-")
-    path = f"{at.rstrip('/')}/fluvia-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    root = f"{at.rstrip('/')}/fluvia-{app}-grid"
+    if root not in _roots:
+        _roots.add(root)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)  # by the JVM as it ends
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -49,6 +49,47 @@ def field_summary(status: DataFrame) -> DataFrame:
     return status.agg(F.count(F.lit(1)).alias("visited"), yes.alias("confirmed"), no.alias("not_confirmed"), F.round(F.try_divide(yes, yes + no), 3).alias("rate"))
 
 
+def field_report(records: DataFrame, sites: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row: records, those with coordinates, sites visited, confirmed and not, the rate over decided ones, how many records agree with the map (of all), and new sites."""
+    status = field_summary(field_status(sites, records, matches))
+    gps = F.col("px").isNotNull() & F.col("py").isNotNull()
+    agrees = F.avg((F.lower(F.coalesce("map_agrees", F.lit(""))) == "yes").cast("double"))
+    r = records.agg(F.count(F.lit(1)).alias("records"), F.count_if(gps).alias("records_with_gps"), F.round(agrees, 3).alias("map_agreement"), F.count_if(F.coalesce("claimed", F.lit("")) == "NEW").alias("new_sites"))
+    return r.crossJoin(F.broadcast(status))  # one row
+
+
+def field_by_type(sites: DataFrame, status: DataFrame) -> DataFrame:
+    """(site_class, visited, confirmed) of the classes that were visited."""
+    return status.join(sites.select("site_id", "site_class"), "site_id").groupBy("site_class").agg(F.count(F.lit(1)).alias("visited"), F.count_if(F.col("verdict") == "Confirmed").alias("confirmed"))
+
+
+def trend(history: DataFrame, day: str, coverage: str, least: float = 60.0) -> DataFrame:
+    """Runs by their day, with a flag for low coverage."""
+    return history.withColumn("low_confidence", F.col(coverage) < least).orderBy(day)
+
+
+def latest_reports(reports: DataFrame, day: str, n: int = 7) -> DataFrame:
+    """The latest report and the ones before it."""
+    return reports.orderBy(F.desc(day)).limit(n)
+
+
+def due(last: Column, today: Column, days: int = 13) -> Column:
+    """Whether a new report is due; without a last one it is."""
+    return F.coalesce(F.datediff(today, last) >= days, F.lit(True))
+
+
+def differences(now: DataFrame, before: DataFrame, key: str, value: str, digits: int = 1) -> DataFrame:
+    """(key, now, before, change) of two editions; one that lacks a key has 0."""
+    both = now.select(key, F.col(value).alias("now")).join(before.select(key, F.col(value).alias("before")), key, "full")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return both.select(key, zero("now").alias("now"), zero("before").alias("before"), F.round(zero("now") - zero("before"), digits).alias("change"))
+
+
+def next_unlabelled(points: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
+    """The first point that nobody labelled."""
+    return points.join(labels.where("label is not null").select(key), key, "left_anti").orderBy(key).limit(1)
+
+
 def upsert(history: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """History without the keys of new, and new; columns that one lacks are NULL."""
     return history.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)

@@ -47,23 +47,27 @@ def near_any(points: DataFrame, zone: DataFrame, d: float) -> DataFrame:
 def nearest(sites: DataFrame, places: DataFrame, key: str, name: str) -> DataFrame:
     """(key, name, distance) of the nearest place; ties go to the smaller name.
 
-    Sites look within a distance at which a bucket holds about one place; those
-    that found none look again twice as far, up to the extent of all. Rows
-    without coordinates take no part; without places there are no rows.
+    Sites look within a distance at which a bucket of the middle nine tenths of
+    places holds about one; those that found none look again twice as far, up to
+    the extent of all. A place far away from the rest so changes the number of
+    rounds, not the buckets. Places at one spot count as one, by the smallest
+    name. Rows without coordinates take no part; without places there are no rows.
     """
-    places = places.where("px is not null and py is not null")
+    places = places.where("px is not null and py is not null").groupBy("px", "py").agg(F.min(name).alias(name))
     left = sites.select(key, "x", "y").where("x is not null and y is not null")
-    n, ax, bx, ay, by = places.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
+    middle = F.percentile_approx("px", F.array(F.lit(0.05), F.lit(0.95))).alias("x"), F.percentile_approx("py", F.array(F.lit(0.05), F.lit(0.95))).alias("y")
+    n, ax, bx, ay, by, mx, my = places.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py"), *middle).first()
     cx, dx, cy, dy = left.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     if not n or cx is None:
         return within(left, places, 1.0).select(key, name, F.sqrt("d2").alias("distance"))
     reach = max(math.hypot(max(bx, dx) - min(ax, cx), max(by, dy) - min(ay, cy)), 1e-9) * 1.001
-    d = min(reach, max(math.sqrt((bx - ax) * (by - ay) / n), reach / 4096))
+    core = math.sqrt((mx[1] - mx[0]) * (my[1] - my[0]) / n) or max(mx[1] - mx[0], my[1] - my[0]) / n
+    d = min(reach, core or reach / 1024)
     found = []
     while True:
         best = written(within(left, places, d).groupBy(key).agg(F.min(F.struct("d2", name)).alias("b")))
         found.append(best)
-        left = left.join(best, key, "left_anti")
+        left = written(left.join(best, key, "left_anti"))
         if d >= reach or left.isEmpty():
             break
         d = min(2 * d, reach)

@@ -2,18 +2,59 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.functions.special import hypergeometric_upper, normal_quantile_upper, normal_upper, student_upper
+from fluvia.operators.regions import written
 
 #: Least variance of a water fraction, least dates, quantiles of the detection limit.
 VARIANCE_FLOOR, LEAST_DATES = 0.05**2, 3
 DETECTION = 1.959963984540054 + 0.8416212335729143
 
 
+def running(rows: DataFrame, order: Sequence[Column], sums: dict[str, str]) -> tuple[DataFrame, dict[str, float]]:
+    """Adds running sums (name: of column) in an order over all rows, and gives the totals.
+
+    Rows are dealt to partitions by ranges of the order; each is summed by
+    itself, and what the driver holds is one row a partition.
+    """
+    parts = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    per = {r["_part"]: r for r in parts.groupBy("_part").agg(*[F.sum(c).alias(k) for k, c in sums.items()]).collect()}
+    before, total = [], dict.fromkeys(sums, 0)
+    for k in sorted(per):
+        before.append((k, *total.values()))
+        total = {c: v + (per[k][c] or 0) for c, v in total.items()}
+    if not before:
+        return parts.drop("_part").select("*", *[F.lit(0).alias(k) for k in sums]), total
+    kinds = ", ".join(f"_b_{k} {parts.agg(F.sum(c)).schema[0].dataType.simpleString()}" for k, c in sums.items())
+    offsets = rows.sparkSession.createDataFrame(before, f"_part int, {kinds}")
+    w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = parts.join(F.broadcast(offsets), "_part")  # a row a partition
+    return out.select(*rows.columns, *[(F.sum(c).over(w) + F.col(f"_b_{k}")).alias(k) for k, c in sums.items()]), total
+
+
+def quantiles(rows: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:
+    """Exact quantiles with linear interpolation, from running counts of distinct values; the driver holds two values for each."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k"))
+    ranked, total = running(counts, [F.col(value)], {"_c": "_k"})
+    n = total["_c"]
+    if not n:
+        return [None] * len(shares)
+    places = [(n - 1) * s for s in shares]
+    wanted = sorted({int(x) for p in places for x in (math.floor(p), math.ceil(p))})
+    hit = [(F.col("_c") - F.col("_k") <= w) & (F.col("_c") > w) for w in wanted]
+    any_hit = hit[0]
+    for h in hit[1:]:
+        any_hit = any_hit | h
+    got = ranked.where(any_hit).select(F.col(value).cast("double").alias("v"), (F.col("_c") - F.col("_k")).alias("low"), F.col("_c").alias("high")).collect()
+    at = lambda w: next(r.v for r in got if r.low <= w < r.high)
+    return [at(math.floor(p)) + (at(math.ceil(p)) - at(math.floor(p))) * (p - math.floor(p)) for p in places]
+
+
 def welch(na: Column, ma: Column, va: Column, nb: Column, mb: Column, vb: Column) -> dict[str, Column]:
     """d = b - a, its standard error, t and degrees of freedom; NULL under three values on either side."""
     fa, fb = (F.greatest(F.coalesce(v, F.lit(0.0)), F.lit(VARIANCE_FLOOR)) / n for v, n in ((va, na), (vb, nb)))
@@ -32,15 +73,9 @@ def tested(rows: DataFrame) -> DataFrame:
 def benjamini_hochberg(rows: DataFrame, p: str, q: float = 0.05) -> DataFrame:
     """Adds rejected. Ranks come from counts of distinct p-values, ties share the last; the cut is one value."""
     counts = rows.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_m"))
-    # running counts by ranges of p: within a range by a window, ranges joined by their totals (a bounded number)
-    binned = counts.withColumn("_bin", F.least(F.floor(F.col(p) * 4096), F.lit(4095)))
-    before = binned.groupBy("_bin").agg(F.sum("_n").alias("_b"))
-    before = before.withColumn("_before", F.sum("_b").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)))
-    w = Window.partitionBy("_bin").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = binned.join(F.broadcast(before.select("_bin", "_before")), "_bin").withColumn("_rank", F.sum("_n").over(w) + F.coalesce("_before", F.lit(0)))
-    cut = ranked.crossJoin(F.broadcast(total)).where(F.col(p) * F.col("_m") <= q * F.col("_rank")).agg(F.max(p).alias("_cut"))
-    return rows.crossJoin(F.broadcast(cut)).withColumn("rejected", F.coalesce(F.col(p) <= F.col("_cut"), F.lit(False))).drop("_cut")
+    ranked, total = running(counts, [F.col(p)], {"_rank": "_n"})
+    cut = ranked.where(F.col(p) * F.lit(float(total["_rank"])) <= q * F.col("_rank")).agg(F.max(p).alias("_cut"))
+    return rows.crossJoin(F.broadcast(cut)).withColumn("rejected", F.coalesce(F.col(p) <= F.col("_cut"), F.lit(False))).drop("_cut")  # one row
 
 
 def stouffer(rows: DataFrame, key: str, p_up: str, deflate: float = 2.0) -> DataFrame:
@@ -61,49 +96,77 @@ def detection_limit(se: Column, pixel_m2: float = 100.0) -> Column:
     return DETECTION * se * pixel_m2
 
 
-def bootstrap(groups: DataFrame, sums: Sequence[str], ratio: Column, rounds: int = 1000, seed: int = 42) -> DataFrame:
-    """(low, high, mean) of a ratio of sums over resampled groups. Draws are Poisson(1) weights by hash, so each row needs no other."""
-    rows = groups.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    u = (F.pmod(F.xxhash64("_b", *[c for c in groups.columns], F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    weight, below, term = F.lit(0), 0.0, 0.36787944117144233
+def _resampled(groups: DataFrame, sums: Sequence[str], rounds: int, seed: int) -> DataFrame:
+    """Sums of resampled groups, a row a round. A draw is a Poisson(1) weight by hash of the round, the row and its number among equal rows: no row needs another, and the number of rows drawn varies by its square root."""
+    every = groups.columns
+    numbered = groups.withColumn("_nth", F.row_number().over(Window.partitionBy(*every).orderBy(F.lit(0))))
+    rows = numbered.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    u = (F.pmod(F.xxhash64("_b", "_nth", *every, F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    weight, below, term = F.lit(0), 0.0, math.exp(-1)
     for k in range(9):
         below += term
         weight = weight + F.when(u > below, 1).otherwise(0)
         term /= k + 1
-    per = rows.withColumn("_w", weight).groupBy("_b").agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in sums]).withColumn("_v", ratio)
+    return rows.withColumn("_w", weight).groupBy("_b").agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in sums])
+
+
+def bootstrap(groups: DataFrame, sums: Sequence[str], ratio: Column, rounds: int = 1000, seed: int = 42) -> DataFrame:
+    """(low, high, mean) of a ratio of sums over resampled groups; percentiles are of ``rounds`` rows."""
+    per = _resampled(groups, sums, rounds, seed).withColumn("_v", ratio)
     return per.agg(F.percentile("_v", F.lit(0.025)).alias("low"), F.percentile("_v", F.lit(0.975)).alias("high"), F.avg("_v").alias("mean"))
 
 
+def bootstrap_difference(groups: DataFrame, sums: Sequence[str], first: Column, second: Column, rounds: int = 1000, seed: int = 42) -> DataFrame:
+    """(mean, low, high, share_positive) of the difference of two ratios over the same draws."""
+    per = _resampled(groups, sums, rounds, seed).withColumn("_v", first - second)
+    return per.agg(F.avg("_v").alias("mean"), F.percentile("_v", F.lit(0.025)).alias("low"), F.percentile("_v", F.lit(0.975)).alias("high"), F.avg((F.col("_v") > 0).cast("double")).alias("share_positive"))
+
+
 def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (n, rho): correlation of ranks, ties sharing their mean rank. Ranks come from counts of distinct values."""
+    """One row (n, rho): correlation of ranks, ties sharing their mean rank. Ranks come from running counts of distinct values."""
+    both = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
 
     def ranks(c: str) -> DataFrame:
-        counts = rows.groupBy(c).agg(F.count(F.lit(1)).alias("k"))
-        below = F.coalesce(F.sum("k").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return counts.select(c, (below + (F.col("k") + 1) / 2).alias(f"r_{c}"))
+        counts, _ = running(both.groupBy(c).agg(F.count(F.lit(1)).alias("_k")), [F.col(c)], {"_c": "_k"})
+        return counts.select(c, (F.col("_c") - F.col("_k") + (F.col("_k") + 1) / 2).alias(f"r_{c}"))
+
+    ranked = both.join(ranks(x), x).join(ranks(y), y)
+    return ranked.agg(F.count(F.lit(1)).alias("n"), F.corr(f"r_{x}", f"r_{y}").alias("rho"))
 
-    both = rows.join(ranks(x), x).join(ranks(y), y)
-    return both.agg(F.count(F.lit(1)).alias("n"), F.corr(f"r_{x}", f"r_{y}").alias("rho"))
+
+def spearman_test(rows: DataFrame, x: str, y: str) -> DataFrame:
+    """One row (n, rho, p): the two-sided p of Student's t with n - 2 degrees of freedom; NULL under three rows."""
+    t = F.abs("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") * F.col("rho")))
+    s = spearman(rows, x, y).withColumn("_t", F.when((F.col("n") > 2) & (F.abs("rho") < 1), t)).withColumn("_df", (F.col("n") - 2).cast("double"))
+    return s.withColumn("p", F.when(F.abs("rho") >= 1, 0.0).otherwise(2 * student_upper("_t", "_df"))).drop("_t", "_df")
 
 
 def roc_auc(rows: DataFrame, score: str, label: str) -> DataFrame:
     """One row (auc): Mann-Whitney over distinct scores, ties half."""
     c = rows.groupBy(score).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return c.withColumn("w", F.col("p") * (below + F.col("n") / 2)).agg((F.sum("w") / (F.sum("p") * F.sum("n"))).alias("auc"))
+    ranked, _ = running(c, [F.col(score)], {"_upto": "n"})
+    return ranked.withColumn("w", F.col("p") * (F.col("_upto") - F.col("n") / 2)).agg((F.sum("w") / (F.sum("p") * F.sum("n"))).alias("auc"))
 
 
 def average_precision(rows: DataFrame, score: str, label: str) -> DataFrame:
     c = rows.groupBy(score).agg(F.sum(label).alias("p"), F.count(F.lit(1)).alias("k"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return c.withColumn("a", F.col("p") * F.sum("p").over(w) / F.sum("k").over(w)).agg((F.sum("a") / F.sum("p")).alias("average_precision"))
+    ranked, _ = running(c, [F.desc(score)], {"_p": "p", "_n": "k"})
+    return ranked.withColumn("a", F.col("p") * F.col("_p") / F.col("_n")).agg((F.sum("a") / F.sum("p")).alias("average_precision"))
 
 
 def captured(rows: DataFrame, score: str, label: str, share: int, tie: str) -> DataFrame:
     """One row (captured): positives among the int(n * share / 100) highest scores."""
-    n = rows.count()
-    top = rows.orderBy(F.desc(score), tie).limit(n * share // 100).agg(F.coalesce(F.sum(label), F.lit(0)).alias("t"))
-    return top.crossJoin(rows.agg(F.sum(label).alias("p"))).select(F.when(F.col("p") > 0, F.col("t") / F.col("p")).alias("captured"))
+    ranked, total = running(rows.select(score, tie, label).withColumn("_one", F.lit(1)), [F.desc(score), F.col(tie)], {"_rank": "_one"})
+    top = F.sum(F.when(F.col("_rank") <= int(total["_rank"]) * share // 100, F.col(label)).otherwise(0))
+    return ranked.agg(top.alias("t"), F.sum(label).alias("p")).select(F.when(F.col("p") > 0, F.col("t") / F.col("p")).alias("captured"))
+
+
+def bins(x: Column, edges: Sequence[float]) -> Column:
+    """The number from 0 of the bin [low, high) that x is in, the last one closed; NULL outside."""
+    out = F.when(x == edges[-1], len(edges) - 2)
+    for k, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        out = out.when((x >= low) & (x < high), k)
+    return out
 
 
 def stratified_sample(rows: DataFrame, stratum: str, key: str, each: int, seed: int = 42) -> DataFrame:

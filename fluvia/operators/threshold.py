@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.operators.focal import dilate, erode
+from fluvia.operators.regions import written
+from fluvia.operators.stats import quantiles
 
 BINS = 256
 
@@ -40,10 +42,13 @@ def edge_otsu(cells: DataFrame, value: str, first: float, above: bool = True, ba
     water = cells.where(fits).select("row", "col")
     zone = dilate(water, band).join(erode(water, band), ["row", "col"], "left_anti")
     inside = cells.where(F.col(value).isNotNull()).join(zone, ["row", "col"], "left_semi")
-    ends = inside.agg(F.percentile(value, F.lit(0.01)).alias("p1"), F.percentile(value, F.lit(0.99)).alias("p99"), F.count(F.lit(1)).alias("cells"))
-    held = inside.crossJoin(F.broadcast(ends)).select(F.least(F.greatest(F.col(value), F.col("p1")), F.col("p99")).alias("v"))
+    inside = written(inside.select(F.col(value).alias("v")))
+    n = inside.count()
+    if n < least:
+        return cells.sparkSession.range(1).select(F.lit(float(first)).alias("threshold"))
+    p1, p99 = quantiles(inside, "v", (0.01, 0.99))
+    held = inside.select(F.least(F.greatest(F.col("v"), F.lit(p1)), F.lit(p99)).alias("v"))
     t: Column = F.col("threshold")
     if bounds:
         t = F.least(F.greatest(t, F.lit(float(bounds[0]))), F.lit(float(bounds[1])))
-    found = otsu(held, "v")
-    return ends.select("cells").join(found, how="left").select(F.when((F.col("cells") >= least) & F.col("threshold").isNotNull(), t).otherwise(F.lit(float(first))).alias("threshold"))
+    return otsu(held, "v").select(F.when(F.col("threshold").isNotNull(), t).otherwise(F.lit(float(first))).alias("threshold"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fluvia.functions.spectral import clip
 from fluvia.operators.composite import block_mean
 from fluvia.operators.focal import box_sum
+from fluvia.operators.stats import quantiles
 
 #: Index of pure water and pure land, windows in cells, least pure cells, least squared contrast.
 PURE_WATER, PURE_LAND, NEAR, FAR, LEAST, CONTRAST = 0.30, -0.20, 31, 151, 10, 0.002
@@ -26,10 +27,10 @@ def end_members(cells: DataFrame, band: str, pure: Column, n_rows: int, n_cols:
     x = cells.withColumn("_v", F.when(own, F.col(band)).otherwise(0.0)).withColumn("_n", own.cast("double"))
     for name, size in (("near", near), ("far", far)):
         x = box_sum(box_sum(x, "_v", size, n_rows, n_cols, f"_s{name}"), "_n", size, n_rows, n_cols, f"_n{name}")
-    # at least so many pure cells, the median is one value
-    whole = cells.where(own).agg(F.when(F.count(band) >= least, F.median(band)).alias("_median"))
-    value = F.when(F.col("_nnear") >= least, F.col("_snear") / F.col("_nnear")).when(F.col("_nfar") >= least, F.col("_sfar") / F.col("_nfar")).otherwise(F.col("_median"))
-    return x.crossJoin(F.broadcast(whole)).withColumn(out, value).select(*cells.columns, out)
+    pure_cells = cells.where(own)
+    median = quantiles(pure_cells, band, (0.5,))[0] if pure_cells.count() >= least else None
+    value = F.when(F.col("_nnear") >= least, F.col("_snear") / F.col("_nnear")).when(F.col("_nfar") >= least, F.col("_sfar") / F.col("_nfar")).otherwise(F.lit(median).cast("double"))
+    return x.withColumn(out, value).select(*cells.columns, out)
 
 
 def fraction(bands: list[Column], water: list[Column], land: list[Column], contrast: float = CONTRAST) -> Column:

@@ -2,9 +2,9 @@
 
 
 def _modules():
-    from fluvia.plans import maps, more, tables
+    from fluvia.plans import land, maps, more, ranking, tables
 
-    return [maps, tables, more]
+    return [maps, tables, more, land, ranking]
 
 
 def all_queries() -> dict:

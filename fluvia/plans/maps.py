@@ -178,11 +178,6 @@ def otsu(spark, d):
     return threshold.otsu(pixels(spark, d), "z").select(F.round("threshold", 6).alias("threshold"))
 
 
-@query()
-def edge_otsu(spark, d):
-    return threshold.edge_otsu(pixels(spark, d), "z", 1000.0, bounds=(900.0, 2000.0), least=50)
-
-
 @query(f"""WITH RECURSIVE {OBS}, {FREQ}, {WATER}, {EDGES}, {REACH} SELECT "row"::INT AS "row", col::INT AS col, region::BIGINT AS region FROM rg""")
 def connected_components(spark, d):
     return regions.components(water(spark, d), tile=16).select("row", "col", "region")
@@ -216,7 +211,7 @@ def inland_split(spark, d):
 
 
 @query(f"""WITH {OBS}, {FREQ}, {WATER}, l AS (SELECT "row", col FROM fr WHERE NOT coalesce(k / nullif(n, 0) >= 0.5 AND n >= 2, false)),
-m AS (SELECT l."row", l.col, min((l."row" - wt."row") * (l."row" - wt."row") + (l.col - wt.col) * (l.col - wt.col)) AS d2 FROM l, wt GROUP BY ALL) SELECT l."row", l.col, round(CASE WHEN d2 <= 25 THEN sqrt(d2) * 20.0 END, 6) AS distance FROM l LEFT JOIN m USING ("row", col)""")
+m AS (SELECT l."row", l.col, min((l."row" - wt."row") * (l."row" - wt."row") + (l.col - wt.col) * (l.col - wt.col)) AS d2 FROM l, wt GROUP BY ALL) SELECT l."row", l.col, round(sqrt(d2) * 20.0, 6) AS distance FROM l LEFT JOIN m USING ("row", col)""")
 def retreat_distance(spark, d):
     w = water(spark, d)
     land = freq(spark, d).join(w, ["row", "col"], "left_anti")
@@ -236,10 +231,16 @@ def majority_class(spark, d):
     return regions.majority(regions.components(water(spark, d)), pixels(spark, d).withColumn("k", F.col("s") % 3), "k")
 
 
-@query(f"""WITH RECURSIVE {OBS}, {FREQ}, {WATER}, {EDGES}, {REACH}, z AS (SELECT region, count(*) AS n FROM rg GROUP BY region) SELECT (CASE WHEN n <= 1 THEN 0 WHEN n <= 4 THEN 1 WHEN n <= 16 THEN 2 WHEN n <= 64 THEN 3 ELSE 4 END)::INT AS bin, count(*) AS patches FROM z GROUP BY ALL""")
+#: Edges of the patch sizes in ha, for the mapped and for the tested edition.
+SIZE_EDGES = (0, 0.05, 0.1, 0.2, 0.4, 1, 5, 20, 1e9)
+TESTED_EDGES = (0.02, *SIZE_EDGES[1:])
+_BIN = "CASE " + " ".join(f"WHEN a >= {x} AND a < {y} THEN {k}" for k, (x, y) in enumerate(zip(SIZE_EDGES[:-1], SIZE_EDGES[1:], strict=True))) + " END"
+
+
+@query(f"""WITH RECURSIVE {OBS}, {FREQ}, {WATER}, {EDGES}, {REACH}, z AS (SELECT region, count(*) * {PIXEL_HA} AS a FROM rg GROUP BY region) SELECT ({_BIN})::INT AS bin, count(*) AS patches FROM z GROUP BY ALL""")
 def size_histogram(spark, d):
     z = regions.region_sizes(regions.components(water(spark, d)))
-    return z.groupBy((spectral.classify(F.col("size").cast("double"), (1, 4, 16, 64)) - 1).alias("bin")).agg(F.count(F.lit(1)).alias("patches"))
+    return z.groupBy(stats.bins(F.col("size") * PIXEL_HA, SIZE_EDGES).alias("bin")).agg(F.count(F.lit(1)).alias("patches"))
 
 
 @query(f"""WITH {PIXELS} SELECT ("row" // 2)::BIGINT AS "row", (col // 2)::BIGINT AS col, round(CASE WHEN count(*) FILTER (s % 9 <> 0) = 4 THEN avg(z) END, 6) AS z FROM px GROUP BY ALL""")
@@ -321,6 +322,8 @@ def unmix_fraction(spark, d):
     return m.select("vec_id", F.round(spectral.clip(dot(F.col("r"), F.col("g")) / dot(F.col("g"), F.col("g")), 0.0, 1.0), 5).alias("fraction"))
 
 
-@query(f"""WITH {OBS} SELECT period, quantile_cont(p, 0.02) AS p2, quantile_cont(p, 0.98) AS p98 FROM obs GROUP BY period""")
+@query(f"""WITH {OBS} SELECT period, round(quantile_cont(p, 0.02), 6) AS p2, round(quantile_cont(p, 0.98), 6) AS p98 FROM obs GROUP BY period""")
 def stretch_percentiles(spark, d):
-    return observations(spark, d).groupBy("period").agg(F.percentile("p", F.lit(0.02)).alias("p2"), F.percentile("p", F.lit(0.98)).alias("p98"))
+    o = regions.written(observations(spark, d).select("period", "p"))
+    rows = [(k, *stats.quantiles(o.where(F.col("period") == k), "p", (0.02, 0.98))) for k in ("was", "now")]
+    return spark.createDataFrame(rows, "period string, p2 double, p98 double").where("p2 is not null").select("period", F.round("p2", 6).alias("p2"), F.round("p98", 6).alias("p98"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fluvia.operators import focal, ml, stats, unmix
+from fluvia.operators import focal, ml, regions, stats, unmix, watermap
 from fluvia.plans.grid import CHANGE, OBS, PERIODS, PIXELS, periods, pixels, shape, table
 from fluvia.plans.maps import both_periods, change
 from fluvia.plans.tables import _SITES, site_frame
@@ -78,14 +78,15 @@ def merged_map(spark, d):
     p = periods(spark, d).select("row", "col", (F.col("mb") - F.col("ma")).alias("dm"))
     inside = F.col("row") % 5 == 0
     tested = F.when(inside & (F.col("dm") > 0.004), 1).when(inside & (F.col("dm") < -0.004), 2)
-    standard = F.when(inside & F.col("cls").isin(1, 5, 2), 0).otherwise(F.col("cls"))
-    return change(spark, d).join(p, ["row", "col"]).select("row", "col", F.coalesce(tested, standard).cast("int").alias("cls"))
+    merged = watermap.merged_class(F.col("cls"), inside, F.array(tested), F.lit(True))
+    return change(spark, d).join(p, ["row", "col"]).select("row", "col", merged.cast("int").alias("cls"))
 
 
 @query()
 def detection_limits(spark, d):
-    x = both_periods(spark, d).withColumn("limit", stats.detection_limit(F.col("se")))
-    return x.agg(F.percentile("limit", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("p"), F.count("limit").alias("cells"))
+    x = regions.written(both_periods(spark, d).select(stats.detection_limit(F.col("se")).alias("limit")))
+    low, middle, high = stats.quantiles(x, "limit", (0.1, 0.5, 0.9))
+    return x.agg(F.count("limit").alias("cells")).select("cells", *[F.lit(v).cast("double").alias(k) for k, v in (("p10", low), ("p50", middle), ("p90", high))])
 
 
 def learning_rows(spark, d):

@@ -34,7 +34,7 @@ _SITES = f"""s AS (SELECT o_orderkey AS id, {_CLS} AS cls, {_SRC} AS source, o_t
   (o_orderkey % 47)::DOUBLE AS crop_ha, (o_orderkey % 5) / 2.0 AS road_km, (o_orderkey % 9) / 8.0 AS embankment_km, (o_orderkey % 4)::DOUBLE AS facilities, (o_orderkey % 83)::DOUBLE AS retreat, o_orderdate::DATE AS day,
   (o_orderkey * 37 % 20011)::DOUBLE AS x, (o_orderkey * 101 % 20023)::DOUBLE AS y FROM orders)"""
 _WEIGHT = "CASE cls " + " ".join(f"WHEN '{c}' THEN {w}" for c, w in rules.HAZARD_WEIGHTS.items()) + " END"
-_HAZ = f"""h AS (SELECT *, {_WEIGHT} * ln(1 + area) * CASE source WHEN 'change' THEN coalesce(conf, 1.0) WHEN 'ai' THEN coalesce(least(greatest(prob / 0.5, 0), 1), 0) * 0.985 ELSE 1.0 END AS hazard FROM s)"""
+_HAZ = f"""h AS (SELECT *, {_WEIGHT} * ln(1 + area) * CASE source WHEN 'change' THEN coalesce(conf, 1.0) WHEN 'ai' THEN CASE WHEN prob IS NULL THEN 1.0 ELSE least(greatest(prob / 0.5, 0), 1) * ((0.894 - 0.5) / 0.4) END ELSE 1.0 END AS hazard FROM s)"""
 _EXP = "(" + " + ".join(f"{w} * least(greatest({k} / {t}, 0), 1)" for k, (w, t) in rules.EXPOSURE.items()) + ") / 1.0"
 _PRI = f"p AS (SELECT *, {_EXP} AS expo, round(hazard * (0.3 + (1 - 0.3) * {_EXP}), 6) AS priority FROM h WHERE hazard > 0)"
 
@@ -51,8 +51,12 @@ def site_frame(spark: SparkSession, d: str) -> DataFrame:
     return x
 
 
+#: The model's area under the curve that the sites' predictions are weighed with.
+AUC = 0.894
+
+
 def with_hazard(x: DataFrame) -> DataFrame:
-    return x.withColumn("hazard", rules.hazard(F.col("cls"), F.col("area"), rules.evidence(F.col("source"), F.col("conf"), F.col("prob"), 0.985)))
+    return x.withColumn("hazard", rules.hazard(F.col("cls"), F.col("area"), rules.evidence(F.col("source"), F.col("conf"), F.col("prob"), rules.model_skill(F.lit(AUC)))))
 
 
 def with_priority(x: DataFrame) -> DataFrame:
@@ -66,7 +70,7 @@ def hazard_priority(spark, d):
 
 
 @query(f"""WITH {_SITES}, {_HAZ}, {_PRI}, c AS (SELECT * FROM p ORDER BY round(hazard, 6) DESC, id LIMIT 300), o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY priority DESC, id) AS own FROM c),
-f AS (SELECT *, own <= CASE source WHEN 'change' THEN 30 WHEN 'risk' THEN 15 ELSE 5 END AS inq FROM o), t AS (SELECT * FROM f ORDER BY inq DESC, priority DESC, id LIMIT 50)
+f AS (SELECT *, own <= CASE source WHEN 'change' THEN 30 WHEN 'ai' THEN 15 WHEN 'risk' THEN 5 END AS inq FROM o), t AS (SELECT * FROM f ORDER BY inq DESC, priority DESC, id LIMIT 50)
 SELECT id, source, priority, row_number() OVER (ORDER BY priority DESC, id)::INT AS rank FROM t""")
 def quota_topk(spark, d):
     c = sites.candidates(with_priority(site_frame(spark, d)).withColumn("hazard", F.round("hazard", 6)), "hazard", "id")
@@ -288,10 +292,11 @@ def history_upsert(spark, d):
     return sites.upsert(o.drop("o_orderstatus"), new.drop("o_orderstatus"), "run")
 
 
-@query(f"WITH {_SITES} SELECT id, cls, conf, NULL::DOUBLE AS prob FROM s WHERE source = 'change' UNION ALL SELECT id, cls, NULL, prob FROM s WHERE source = 'ai'")
+@query(f"WITH {_SITES} SELECT id, cls, conf, NULL::DOUBLE AS prob FROM s WHERE source = 'change' UNION ALL SELECT id, cls, NULL, prob FROM s WHERE source = 'ai' UNION ALL SELECT id, cls, NULL, NULL FROM s WHERE source = 'risk'")
 def union_sites(spark, d):
     s = site_frame(spark, d)
-    return s.where("source = 'change'").select("id", "cls", "conf").unionByName(s.where("source = 'ai'").select("id", "cls", "prob"), allowMissingColumns=True)
+    frames = [s.where(F.col("source") == k).select("id", "cls", *more) for k, more in (("change", ["conf"]), ("ai", ["prob"]), ("risk", []))]
+    return frames[0].unionByName(frames[1], allowMissingColumns=True).unionByName(frames[2], allowMissingColumns=True)
 
 
 _READ = "rd AS (SELECT event_id, user_id AS station, ts, value, epoch_us(ts) AS us FROM events)"
@@ -346,6 +351,29 @@ def indian_grouping(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), rules.indian_grouping(F.floor(F.col("o_totalprice") * 37)).alias("grouped"))
 
 
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END || (o_orderkey % 90 + 10)::VARCHAR AS change, strftime(o_orderdate::DATE, '%d-%m-%Y') AS day, round(date_diff('day', o_orderdate::DATE, DATE '1999-01-01') / 365.25, 6) AS years FROM orders")
+def report_texts(spark, d):
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    change = F.when(k % 2 == 0, k % 90 + 10).otherwise(-(k % 90 + 10))
+    return table(spark, d, "orders").select(k.alias("id"), rules.signed(change).alias("change"), rules.day_first(day).alias("day"), F.round(rules.years_between(day, F.lit("1999-01-01").cast("date")), 6).alias("years"))
+
+
+@query("""WITH n AS (SELECT o_orderkey AS id, 'dw_' || CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE '' END || (o_orderkey % 180) || 'p' || (o_orderkey % 9) || '_' || (o_orderkey % 80) || 'p5-x' AS name FROM orders)
+SELECT id, (CASE WHEN id % 2 = 0 THEN '-' ELSE '' END || (id % 180) || '.' || (id % 9))::DOUBLE AS lon, ((id % 80) || '.5')::DOUBLE AS lat, 'R' || (id % 99) AS tile, DATE '1970-01-01' + (id % 20000)::INT AS day FROM n""")
+def tile_names(spark, d):
+    k = F.col("o_orderkey")
+    text = lambda x: x.cast("string")
+    name = F.concat(F.lit("dw_"), F.when(k % 2 == 0, "-").otherwise(""), text(k % 180), F.lit("p"), text(k % 9), F.lit("_"), text(k % 80), F.lit("p5-x"))
+    lon, lat = rules.tile_place(name)
+    tile, day = rules.scene_key(F.concat(F.lit("S2A_X_TR"), text(k % 99)), (k % 20000) * 86_400_000 + 1000)
+    return table(spark, d, "orders").select(k.alias("id"), lon.alias("lon"), lat.alias("lat"), tile.alias("tile"), day.alias("day"))
+
+
+@query(f"WITH {_SITES} SELECT id, trim(regexp_replace(lower(split_part(cls, ' (', 1)), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM s")
+def class_slugs(spark, d):
+    return site_frame(spark, d).select("id", rules.slug(F.col("cls")).alias("slug"))
+
+
 @query()
 def utm_round_trip(spark, d):
     """Coordinates to UTM and back; the difference is under a millimetre."""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Columns of the site table and of survey records.
 SITE_SCHEMA = T.StructType([
-    T.StructField("rank", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("site_id", "class", "source", "urgency", "lead_agency", "recommended_action", "confidence", "nearest_place")],
+    T.StructField("rank", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("site_id", "class", "source", "urgency", "lead_agency", "recommended_action", "confidence", "nearest_place", "field_status", "field_date", "field_visits")],
     *[T.StructField(c, T.DoubleType()) for c in ("area_ha", "footprint_ha", "p_value", "mean_soil_loss_t_ha_yr", "mean_slope_deg", "max_retreat_m", "retreat_m_per_yr", "mean_probability", "model_agreement", "confidence_score", "population", "built_ha", "crop_ha", "road_km", "embankment_km", "facilities", "nearest_place_km", "exposure_index", "hazard_score", "priority_score", "lat", "lon")],
 ])
 
@@ -33,10 +34,12 @@ def survey(spark: SparkSession, path: str, delimiter: str | None = None) -> Data
         line = head[0] if head else ""
         delimiter = max(",;\t", key=line.count)
     raw = spark.read.option("header", True).option("sep", delimiter).csv(path)
+    raw = raw.toDF(*[c.strip() for c in raw.columns])
     parts = F.split(column_of(raw, "gps"), " ")
-    names = ("site_id", "today", "officer", "erosion_present", "erosion_type", "severity", "reference_class", "map_agrees", "urgency", "households_at_risk", "retreat_m")
+    names = ("site_id", "today", "officer", "erosion_present", "erosion_type", "severity", "reference_class", "map_agrees", "urgency", "households_at_risk", "retreat_m", "photo_1")
     lat, lon = (F.coalesce(column_of(raw, f"_gps_{n}").try_cast("double"), F.get(parts, F.lit(k)).try_cast("double")) for k, n in enumerate(("latitude", "longitude")))
-    return raw.select(*[column_of(raw, n).alias(n) for n in names], lat.alias("lat"), lon.alias("lon"))
+    # a column that the file lacks, and an empty field, are empty text
+    return raw.select(*[F.coalesce(column_of(raw, n), F.lit("")).alias(n) for n in names], lat.alias("lat"), lon.alias("lon"))
 
 
 def boundary(spark: SparkSession, path: str) -> DataFrame:
@@ -51,6 +54,91 @@ def boundary(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("name", "ring", F.posexplode("points").alias("place", "p")).select("name", "ring", "place", F.get("p", F.lit(0)).alias("lon"), F.get("p", F.lit(1)).alias("lat"))
 
 
+def area_of(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """(ring, place, lon, lat) of the places called ``name`` (trimmed, any case), all without one."""
+    rings = boundary(spark, path)
+    own = rings.where(F.col("name") == name.strip().lower()) if name else rings
+    return own.drop("name")
+
+
+def bounds(points: DataFrame, fallback: tuple[float, float, float, float] | None = None) -> tuple[float, ...] | None:
+    """West, south, east, north to five decimals; the fallback where there are no points."""
+    r = points.agg(F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")).first()
+    return fallback if r[0] is None else tuple(round(v, 5) for v in r)
+
+
+def scenes(catalogue: DataFrame, collection: str, box: tuple[float, float, float, float], start: str, end: str, cloud: float | None = None) -> DataFrame:
+    """Scenes (collection, west, south, east, north, date, cloud) of a collection that meet a box and a span of days, under a share of cloud; the tests reach the scan."""
+    west, south, east, north = box
+    got = catalogue.where((F.col("collection") == collection) & (F.col("west") <= east) & (F.col("east") >= west) & (F.col("south") <= north) & (F.col("north") >= south))
+    got = got.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return got if cloud is None else got.where(F.col("cloud") < cloud)
+
+
+def layer(spark: SparkSession, path: str) -> DataFrame | None:
+    """An optional Parquet layer; none where it is absent or has no rows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    df = spark.read.parquet(path)
+    return None if df.isEmpty() else df
+
+
+def zipped_tables(spark: SparkSession, path: str, schema: str, delimiter: str = ",") -> DataFrame:
+    """Rows of the CSV members of zip files, with the member's name; each file is one task's."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(frames):
+        import csv
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for frame in frames:
+            for content in frame["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for member in sorted(n for n in z.namelist() if n.endswith(".csv")):
+                        rows = list(csv.DictReader(io.StringIO(z.read(member).decode("utf-8-sig")), delimiter=delimiter))
+                        yield pd.DataFrame({"member": [member] * len(rows)} | {n: [r.get(n) for r in rows] for n in names})
+
+    text = ", ".join(f"{n} string" for n in names)
+    raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, f"member string, {text}")
+    return raw.select("member", *[F.col(x.split()[0]).try_cast(x.split()[1]).alias(x.split()[0]) for x in schema.split(", ")])
+
+
+def osm_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(id, type, place, lon, lat): the points of ways with geometry, in order."""
+    kind = "struct<elements:array<struct<id:bigint,type:string,tags:map<string,string>,geometry:array<struct<lat:double,lon:double>>>>>"
+    e = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", kind)["elements"]).alias("e")).where("e.type = 'way' and size(e.geometry) > 1")
+    tags = [F.col("e.tags")[t] for t in ("highway", "railway", "amenity", "place", "man_made", "embankment")]
+    return e.select(F.col("e.id").alias("id"), F.coalesce(*tags).alias("type"), F.posexplode("e.geometry").alias("place", "p")).select("id", "type", "place", "p.lon", "p.lat")
+
+
+def segments(points: DataFrame, key: str = "id", order: str = "place", x: str = "x", y: str = "y") -> DataFrame:
+    """(sid, x1, y1, x2, y2) between the points of each line that follow each other."""
+    w = Window.partitionBy(key).orderBy(order)
+    s = points.select(F.xxhash64(key, order).alias("sid"), F.col(x).alias("x1"), F.col(y).alias("y1"), F.lead(x).over(w).alias("x2"), F.lead(y).over(w).alias("y2"))
+    return s.where("x2 is not null")
+
+
+def nested(rows: DataFrame, path: str) -> None:
+    """Rows as JSON, one document a line."""
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(path)
+
+
+def blind_sample(drawn: DataFrame, stratum: str) -> tuple[DataFrame, DataFrame]:
+    """The sample as labellers see it, and the strata of its ids, kept apart."""
+    return drawn.drop(stratum), drawn.select("id", stratum)
+
+
+def depth_soil(layers: DataFrame, keys: list[str], thickness: dict[str, float], scale: dict[str, float]) -> DataFrame:
+    """Thickness-weighted means (keys, prop) of soil properties (keys, prop, depth, v), in their units."""
+    mean = depth_mean(layers, "depth", "v", thickness, [*keys, "prop"])
+    factor = F.create_map(*[F.lit(x) for kv in scale.items() for x in kv])[F.col("prop")]
+    return mean.withColumn("v", F.col("v") / F.coalesce(factor, F.lit(1.0)))
+
+
 def osm_elements(spark: SparkSession, path: str) -> DataFrame:
     """(id, kind, name, type, lon, lat): the type is the first tag that there is."""
     kind = "struct<elements:array<struct<id:bigint,type:string,lat:double,lon:double,tags:map<string,string>>>>"
@@ -74,7 +162,8 @@ def annual_mean(days: DataFrame, keys: list[str], year: str, value: str, days_of
 
 def scaled(x: Column, factor: float, low: int, high: int, missing: int) -> Column:
     """Integers for export: rounded, clipped, missing as a code."""
-    return F.coalesce(F.least(F.greatest(F.round(x * factor), F.lit(low)), F.lit(high)), F.lit(missing)).cast("int")
+    held = F.least(F.greatest(F.round(x * factor), F.lit(low)), F.lit(high))  # these two pass NULL over
+    return F.when(x.isNotNull(), held).otherwise(F.lit(missing)).cast("int")
 
 
 def write_geojson(sites: DataFrame, path: str) -> None:

@@ -124,13 +124,39 @@ def test_ml_scores_registers_whole_models(spark, sf, monkeypatch):
     assert {r.block for r in rows.select("block").distinct().collect()} == set(range(6))
 
 
-def test_blocks_side_by_side_score_every_row_once(spark):
+def test_blocks_score_every_row_by_the_others(spark):
     from fluvia.operators import ml
 
-    rows = spark.createDataFrame([(k, float(k % 7), k % 3, int(k % 7 > 3)) for k in range(90)], "k int, v double, block int, label int")
-    out = ml.cross_validated(rows, lambda: ml.Susceptibility(["v"], trees=2, rounds=1), 3).collect()
-    assert sorted(r.k for r in out) == list(range(90))
+    rows = spark.createDataFrame([(k, float(k % 7), k % 3, int(k % 7 > 3)) for k in range(900)] + [(1000, 1.0, 3, 0)], "k int, v double, block int, label int")
+    out = ml.cross_validated(rows, lambda: ml.Susceptibility(["v"], trees=5, rounds=30), 4).collect()
+    assert sorted(r.k for r in out) == [*range(900), 1000]
     assert all((r.probability > 0.5) == (r.label == 1) for r in out)
+    one_kind = ml.cross_validated(rows.where("label = 0"), lambda: ml.Susceptibility(["v"], trees=2, rounds=2), 4).collect()
+    assert {r.probability for r in one_kind} == {0.0}
+
+
+def test_susceptibility_learns_and_agrees_with_itself(spark):
+    from fluvia.operators import ml
+
+    x = RNG.normal(size=(1500, 3))
+    rows = spark.createDataFrame([(*map(float, v), int(v[0] + v[1] * v[1] > 0.8)) for v in x] + [(None, float("nan"), 0.0, 0)], "a double, b double, c double, label int")
+    fitted = ml.Susceptibility(["a", "b", "c"], trees=40, rounds=80).fit(rows)
+    got = fitted.transform(rows).collect()
+    assert sum((r.probability > 0.5) == (r.label == 1) for r in got) > 0.93 * len(got)
+    assert all(abs(r.agreement) <= 1 and r["class"] in (1, 2, 3, 4, 5) for r in got)
+    names = [k for k, _ in fitted.importance()]
+    assert set(names[:2]) == {"a", "b"} and abs(sum(v for _, v in fitted.importance()) - 1) < 1e-6
+    assert not ml.learnable(rows) and ml.learnable(rows, positive=10, least=100)
+    assert ml.drawn(rows.withColumn("k", F.xxhash64("a", "b")), "k", 7).count() == 7
+
+
+def test_trees_split_where_the_gain_is():
+    from fluvia.operators import trees
+
+    x = np.array([[0.0, 5], [1, 5], [2, 5], [10, 5], [11, 5], [12, 5]])
+    y = np.array([0.0, 0, 0, 1, 1, 1])
+    t = trees.grow(trees.binned(x, trees.edges_of(x)), y, np.ones(6), 3, 1.0, 0.0, lambda m: np.ones((m, 2), bool))
+    assert t["feature"][0] == 0 and trees.apply(t, trees.binned(x, trees.edges_of(x))).tolist() == y.tolist()
 
 
 def test_otsu_splits_two_heaps(spark):
@@ -269,3 +295,128 @@ def test_nearest_place_without_rows_far_away_and_without_coordinates(spark):
     assert got == {1: ("a", 5.0), 2: ("b", math.hypot(5e6 - 5, 5e6)), 4: ("b", 5.0)}
     assert spatial.nearest(sites, places.limit(0), "id", "name").collect() == []
     assert spatial.nearest(sites.limit(0), places, "id", "name").collect() == []
+
+
+def test_quantiles_and_running_sums(spark):
+    v = RNG.normal(size=501).round(1)
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double").repartition(7)
+    shares = (0.0, 0.01, 0.5, 0.98, 1.0)
+    assert np.allclose(stats.quantiles(df, "v", shares), np.quantile(v, shares))
+    assert stats.quantiles(df.where("v > 99"), "v", (0.5,)) == [None]
+    rows, total = stats.running(df.where("v is not null").withColumn("one", F.lit(1)), [F.col("v")], {"r": "one"})
+    assert total["r"] == 501 and sorted(r.r for r in rows.collect()) == list(range(1, 502))
+    plan = rows._jdf.queryExecution().toString()
+    assert "_part" in plan  # windows are by ranges, not over the table
+
+
+def test_no_window_without_partition(spark, sf):
+    for name in ("roc_auc", "average_precision", "captured_top_q", "spearman", "bh_fdr"):
+        plan = all_queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in "".join(x for x in plan.splitlines() if "Window" in x)
+
+
+def test_spearman_p(spark):
+    x = RNG.normal(size=60)
+    df = spark.createDataFrame([(float(a), float(a + b)) for a, b in zip(x, RNG.normal(size=60) * 3, strict=True)], "x double, y double")
+    r = stats.spearman_test(df, "x", "y").first()
+    t = abs(r.rho) * math.sqrt(58 / (1 - r.rho**2))
+    # numeric integral of Student's density
+    u = np.linspace(t, 60, 400001)
+    density = math.gamma(59 / 2) / (math.sqrt(58 * math.pi) * math.gamma(29)) * (1 + u * u / 58) ** (-59 / 2)
+    assert r.p == pytest.approx(2 * float(((density[1:] + density[:-1]) / 2 * np.diff(u)).sum()), abs=1e-5)
+    assert stats.spearman_test(df.withColumn("y", F.col("x")), "x", "y").first().p == 0.0
+
+
+def test_bootstrap_of_equal_rows_and_differences(spark):
+    """Equal rows draw for themselves: the interval of 200 equal groups of each kind is that of 200 draws."""
+    groups = spark.createDataFrame([(1, 0, 1)] * 200 + [(0, 1, 1)] * 200, "a int, b int, n int")
+    r = stats.bootstrap(groups, ["a", "n"], F.col("a") / F.col("n"), 400).first()
+    assert 0.44 < r.low < 0.48 and 0.52 < r.high < 0.56
+    d = stats.bootstrap_difference(groups, ["a", "b", "n"], F.col("a") / F.col("n"), F.col("b") / F.col("n"), 400).first()
+    assert abs(d.mean) < 0.02 and d.low < 0 < d.high and 0.3 < d.share_positive < 0.7
+
+
+def test_nearest_with_one_place_far_away(spark):
+    places = [(f"p{k:03d}", float(k % 20), float(k // 20)) for k in range(400)] + [("far", 1e9, 1e9), ("twin", 3.0, 4.0)]
+    sites = [(k, float(x), float(y)) for k, (x, y) in enumerate(RNG.uniform(0, 20, (300, 2)))] + [(900, 9e8, 9e8), (901, None, 1.0)]
+    got = {r.id: (r.name, r.distance) for r in spatial.nearest(spark.createDataFrame(sites, "id int, x double, y double"), spark.createDataFrame(places, "name string, px double, py double"), "id", "name").collect()}
+    for k, x, y in sites[:-1]:
+        d, name = min((math.hypot(x - a, y - b), n) for n, a, b in places)
+        assert got[k][0] == name and got[k][1] == pytest.approx(d)
+    assert 901 not in got
+
+
+def test_ranking_rules_by_hand(spark):
+    """Quotas 30, 15, 5; evidence 1 without a probability; priority is the hazard without layers; infinity is 0."""
+    from fluvia.operators import exposure
+
+    assert rules.QUOTAS == {"change": 30, "ai": 15, "risk": 5}
+    df = spark.createDataFrame([("change", None, 0.2), ("change", 0.7, None), ("ai", 0.9, None), ("ai", None, 0.25), ("risk", 0.1, 0.1)], "source string, c double, p double")
+    assert [r[0] for r in df.select(rules.evidence(F.col("source"), F.col("c"), F.col("p"), 0.5)).collect()] == [1.0, 0.7, 1.0, 0.25, 1.0]
+    assert df.select(rules.number(F.lit(float("inf"))), rules.number(F.lit("-Infinity")), rules.number(F.lit(None)), rules.number(F.lit("7"))).first()[:] == (0.0, 0.0, 0.0, 7.0)
+    sites = spark.createDataFrame([(k, "Bank erosion (land to water)", float(k + 1), 0.0, 0.0) for k in range(40)], "id int, class string, area_ha double, x double, y double")
+    ai = sites.withColumn("class", F.lit("Likely bank erosion (AI prediction)")).withColumn("id", F.col("id") + 100)
+    risk = sites.withColumn("class", F.lit("Very high")).withColumn("id", F.col("id") + 200)
+    top = exposure.rank_sites({"change": sites, "ai": ai, "risk": risk}, {}).collect()
+    assert {s: sum(r.source == s for r in top) for s in ("change", "ai", "risk")} == {"change": 30, "ai": 15, "risk": 5}
+    assert all(r.priority_score == r.hazard_score and r.exposure_index is None for r in top)
+    assert [r.rank for r in sorted(top, key=lambda r: -r.priority_score)][0] == 1
+
+
+def test_patch_tests(spark):
+    from fluvia.operators import patches
+
+    cells = [(r, c, 0.9, 1e-6, True) for r in range(3) for c in range(3)] + [(10, 10, 0.9, 0.4, True)] + [(20, c, 0.05, 1e-6, True) for c in range(3)]
+    t = spark.createDataFrame(cells, "row int, col int, d double, p_up double, rejected boolean")
+    px, table = patches.loss_patches(t, 0.01)
+    got = {r.region: r for r in table.collect()}
+    assert set(got) == {0, 10 * 2**31 + 10} and got[0].kept and not got[10 * 2**31 + 10].kept
+    assert got[0].area_ha == pytest.approx(9 * 0.9 * 0.01) and got[0].p < 1e-6
+    assert patches.kept_cells(px, table).count() == 9
+    base = patches.baseline_test(t.select("row", "col"), t, 0.04).first()
+    assert (base.patches, base.significant, base.share_patches, base.share_area, base.loss_ha) == (3, 2, 0.667, 0.923, 0.5)
+    tested = patches.tested_patches(t.withColumn("cls", F.when(F.col("row") < 2, 5).otherwise(1)), 0.01).collect()
+    first = next(r for r in tested if r.region == 0)
+    assert (first.cls, first.pixels) == (5, 9) and first.confidence > 0.999 and first.lost_ha == pytest.approx(0.081)
+
+
+def test_lines_are_chained_and_measured(spark):
+    from fluvia.operators import lines, unmix
+
+    a = np.zeros((30, 60))
+    a[:, 30:] = 1.0
+    cells = grid(spark, a, "v")
+    river = cells.where("v = 1").select("row", "col")
+    kept = lines.bank_lines(cells, "v", river, 20.0, least=100.0)
+    got = lines.line_lengths(kept, 20.0).collect()
+    assert len(got) == 1 and got[0].metres == pytest.approx(29 * 20, abs=1)
+    assert lines.bank_lines(cells, "v", river, 20.0, least=1000.0).count() == 0
+    assert lines.bank_lines(cells, "v", river.where("col > 50"), 20.0, least=100.0).count() == 0  # far from the edge
+    ring = spark.createDataFrame([(float(x), 0.0, float(x + 1), 0.0) for x in range(5)] + [(9.0, 9.0, 10.0, 9.0)], "x1 double, y1 double, x2 double, y2 double")
+    assert lines.chained(ring).select("line").distinct().count() == 2
+    b = np.roll(a, 5, axis=1)
+    b[:, :5] = 0
+    current = unmix.contour(cells, "v", 0.5)
+    base = unmix.contour(grid(spark, b, "v"), "v", 0.5)
+    patch = cells.where("row between 5 and 20 and col between 29 and 35").select(F.lit(1).cast("long").alias("region"), "row", "col")
+    assert lines.retreat(patch, base, current, 20.0).first().retreat == pytest.approx(100.0, abs=0.2)
+    assert lines.retreat(patch, base.where("x1 < 0"), current, 20.0).first().retreat is None
+
+
+def test_gaussian_like_a_convolution(spark):
+    from fluvia.operators import lines
+
+    a = RNG.random((9, 7))
+    r = int(4 * lines.SIGMA + 0.5)
+    w = np.exp(-0.5 * (np.arange(-r, r + 1) / lines.SIGMA) ** 2)
+    w /= w.sum()
+    p = np.pad(a, r, mode="symmetric")
+    p = np.stack([np.convolve(x, w, "valid") for x in p])
+    want = np.stack([np.convolve(x, w, "valid") for x in p.T]).T
+    got = {(x.row, x.col): x.smooth for x in lines.gaussian(grid(spark, a, "v"), "v").collect()}
+    assert all(abs(got[k] - v) < 1e-12 for k, v in np.ndenumerate(want))
+
+
+def test_texts_of_reports(spark):
+    r = spark.range(1).select(rules.signed(F.lit(143664)), rules.signed(F.lit(-5)), rules.signed(F.lit(0)), rules.slug(F.lit("Char or sandbar lost (within river belt)"))).first()
+    assert r[:] == ("+1,43,664", "-5", "0", "char_or_sandbar_lost")

@@ -37,7 +37,7 @@ def test_survey_with_grouped_columns(spark, tmp_path):
     p.write_text("grp/site_id;grp/today;gps;grp/erosion_present\n2611-01;2026-11-01;27.4 94.9 0 5;yes\n;2026-11-02;bad;no\n")
     got = tables.survey(spark, str(p)).collect()
     assert (got[0].site_id, got[0].lat, got[0].lon) == ("2611-01", 27.4, 94.9)
-    assert got[1].lat is None and got[1].officer is None
+    assert got[1].lat is None and got[1].officer == "" and got[1].photo_1 == ""
 
 
 def test_boundary_and_elements(spark, tmp_path):
@@ -74,3 +74,63 @@ def test_cached(spark, tmp_path):
     for needs in (["id"], ["id"], ["other"]):
         assert tables.cached(spark, path, needs, compute).count() == 3
     assert len(made) == 2
+
+
+def test_streamed_rain_is_as_the_batch_has_it(spark, tmp_path):
+    """A total over the limit in a span that fits no full hour; a late and a repeated reading."""
+    rows = [(1, 1, "2024-01-01 00:20:00", 30.0), (1, 2, "2024-01-01 23:50:00", 30.0), (1, 3, "2024-01-02 00:10:00", 10.0), (1, 2, "2024-01-01 23:50:00", 30.0), (1, 4, "2024-01-02 00:30:00", 1.0)]
+    schema = "station long, event_id long, ts timestamp, value double"
+    df = spark.createDataFrame(rows, "station long, event_id long, t string, value double").select("station", "event_id", F.to_timestamp("t").alias("ts"), "value")
+    src = tmp_path / "in"
+    df.coalesce(1).write.parquet(str(src))
+    q = alerts.rain_alerts(spark.readStream.schema(schema).parquet(str(src))).writeStream.format("memory").queryName("rain24").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    batch = alerts.trailing_sum(df.distinct()).where(F.col("total") >= alerts.RAIN_24H)
+    assert sorted((r.until, r.rain) for r in spark.table("rain24").collect()) == sorted((r.ts, r.total) for r in batch.collect()) != []
+
+
+def test_alert_rules_by_hand(spark):
+    t = "2024-01-02 00:00:00"
+    rows = [(1, "level_m", 0, "2024-01-01 12:00:00", 5.0), (1, "level_m", 0, t, 4.0), (1, "pore_kpa", 0, t, 60.0), (1, "soil_30", 0, t, 50.0), (1, "battery_v", 0, t, 3.4), (1, "rain_mm", 0, "2024-01-01 00:00:00", 99.0), (1, "rain_mm", 0, t, 70.0), (1, "tilt", 5, "2024-01-01 20:00:00", 1.0), (1, "tilt", 5, t, 4.5), (1, "tilt", 10, "2024-01-01 10:00:00", 12.0), (1, "tilt", 15, t, None), (1, "level_m", 0, "2024-01-02 00:30:00", None)]
+    r = spark.createDataFrame([(*x, k) for k, x in enumerate(rows)], "station long, metric string, setback int, t string, value double, event_id long").withColumn("ts", F.to_timestamp("t"))
+    st = spark.createDataFrame([(1, 9.0, None, [5, 10, 15]), (2, 9.0, None, [5])], "station long, level_warning_m double, piezo_tip_m double, setbacks array<int>")
+    got = {(x.station, x.rule, x.setback): x.severity for x in alerts.evaluated(st, r, F.to_timestamp(F.lit("2024-01-02 01:00:00"))).collect()}
+    assert got == {
+        (1, "level_fall_6h", None): "warning", (1, "rain_24h", None): "warning", (1, "pore", None): "warning", (1, "soil_wet", None): "watch", (1, "battery_low", None): "info",
+        (1, "tilt", 5): "warning", (1, "tilt", 10): "critical", (1, "tilt", 15): "warning", (2, "no_data", None): "warning",
+    }
+    status = {x.station: (x.status, x.n_alerts) for x in alerts.statuses(st, alerts.evaluated(st, r, F.to_timestamp(F.lit("2024-01-02 01:00:00")))).collect()}
+    assert status == {1: ("critical", 8), 2: ("warning", 1)}
+
+
+def test_more_sources(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "t.zip", "w") as z:
+        z.writestr("a/meta.csv", "id,v\n1,2.5\n2,\n")
+        z.writestr("readme.txt", "no table")
+    got = tables.zipped_tables(spark, str(tmp_path / "t.zip"), "id long, v double").collect()
+    assert [(r.member, r.id, r.v) for r in got] == [("a/meta.csv", 1, 2.5), ("a/meta.csv", 2, None)]
+    way = {"id": 7, "type": "way", "tags": {"highway": "track"}, "geometry": [{"lat": 1.0, "lon": 2.0}, {"lat": 1.0, "lon": 3.0}, {"lat": 2.0, "lon": 3.0}]}
+    (tmp_path / "w.json").write_text(json.dumps({"elements": [way, {"id": 8, "type": "node"}]}))
+    s = tables.segments(tables.osm_lines(spark, str(tmp_path / "w.json")), x="lon", y="lat").collect()
+    assert sorted((r.x1, r.y1, r.x2, r.y2) for r in s) == [(2.0, 1.0, 3.0, 1.0), (3.0, 1.0, 3.0, 2.0)]
+    ring = [[0.123456, 0.0], [1.0, 0.0], [1.0, 1.0], [0.123456, 0.0]]
+    (tmp_path / "b.geojson").write_text(json.dumps({"features": [{"properties": {"shapeName": " Place "}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}))
+    area = tables.area_of(spark, str(tmp_path / "b.geojson"), "PLACE")
+    assert tables.bounds(area) == (0.12346, 0.0, 1.0, 1.0) and tables.bounds(area.where("lon > 9"), (1.0, 2.0, 3.0, 4.0)) == (1.0, 2.0, 3.0, 4.0)
+    path = f"file://{tmp_path}/layer"
+    assert tables.layer(spark, path) is None
+    spark.range(2).write.parquet(path)
+    assert tables.layer(spark, path).count() == 2
+    spark.range(0).write.mode("overwrite").parquet(path)
+    assert tables.layer(spark, path) is None
+    tables.nested(spark.range(2).selectExpr("id", "array(id, id + 1) AS a"), f"{tmp_path}/nested")
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/nested").collect()) == ['{"id":0,"a":[0,1]}', '{"id":1,"a":[1,2]}']
+    tables.write_geojson(spark.createDataFrame([(1, 94.0, 27.0)], "rank int, lon double, lat double"), f"{tmp_path}/geo")
+    assert json.loads(spark.read.text(f"{tmp_path}/geo").first().value)["geometry"]["coordinates"] == [94.0, 27.0]
+    blind, strata = tables.blind_sample(spark.createDataFrame([("P001", "a", 1)], "id string, stratum string, x int"), "stratum")
+    assert blind.columns == ["id", "x"] and strata.columns == ["id", "stratum"]
+    soil = spark.createDataFrame([(1, "sand", "0-5cm", 100.0), (1, "sand", "5-15cm", 400.0), (1, "soc", "0-5cm", 50.0)], "cell int, prop string, depth string, v double")
+    assert {r.prop: r.v for r in tables.depth_soil(soil, ["cell"], {"0-5cm": 5, "5-15cm": 10}, {"sand": 10, "soc": 100}).collect()} == {"sand": 30.0, "soc": 0.5}
+    assert spark.range(1).select(tables.scaled(F.lit(0.126), 100, 0, 100, 255), tables.scaled(F.lit(None), 100, 0, 100, 255), tables.scaled(F.lit(9.0), 100, 0, 100, 255)).first()[:] == (13, 255, 100)
