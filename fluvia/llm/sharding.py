@@ -36,6 +36,8 @@ TARGET_BYTES = 64 << 20
 FAN = 4
 PART_SHARDS = 5000
 CLAIM_SECONDS = 900
+#: Files that the driver looks up itself.
+LISTED_BY_DRIVER = 2000
 
 
 @dataclass(frozen=True)
@@ -53,10 +55,10 @@ def tier_of(size: int, fan: int = FAN) -> int:
 
 
 def tiers(shards: list[Shard], target: int, fan: int = FAN) -> list[list[Shard]]:
-    """What is worth merging: of each tier, its shards of under 3/4 of the target, where they are as many as the fan, or fill half a file."""
+    """What is worth merging: of each tier, its shards of up to half the target (any two of which fit a file, so that a merge leaves fewer), where they are as many as the fan, or fill half a file."""
     by: dict[int, list[Shard]] = {}
     for s in shards:
-        if s.size < target * 3 // 4:
+        if s.size <= target // 2:
             by.setdefault(tier_of(s.size, fan), []).append(s)
     found = [sorted(by[t], key=lambda x: (x.size, x.path)) for t in sorted(by)]
     return [r for r in found if len(r) >= fan or len(r) > 1 and sum(s.size for s in r) >= target // 2]
@@ -167,9 +169,9 @@ class Store:
         return self.commit(base, base["schema"] or df.schema.json(), self._write(df))
 
     @contextmanager
-    def _scan_tasks_of(self, size: int):
-        """Scan tasks take whole files up to that size together, for as long as the block lasts."""
-        conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    def _session(self, **conf: str):
+        """Settings for as long as the block lasts."""
+        conf = {f"spark.sql.{k.replace('_', '.')}": v for k, v in conf.items()}
         before = {k: self.spark.conf.get(k, None) for k in conf}
         for k, v in conf.items():
             self.spark.conf.set(k, v)
@@ -179,6 +181,11 @@ class Store:
             for k, v in before.items():
                 self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
+    def _open(self, schema: T.StructType, shards: list[Shard]) -> DataFrame:
+        """Shards as a frame; a job of its own to look up the files pays only for very many."""
+        with self._session(sources_parallelPartitionDiscovery_threshold=str(LISTED_BY_DRIVER)):
+            return self.spark.read.schema(schema).parquet(*[s.path for s in shards])
+
     def compact(self, target: int = TARGET_BYTES, fan: int = FAN) -> int:
         """One pass over all tiers; the version does not change where nothing is worth merging."""
         base = self.manifest()
@@ -187,9 +194,10 @@ class Store:
             return base["version"]
         schema = T.StructType.fromJson(json.loads(base["schema"]))
         made: list[Shard] = []
-        with self._scan_tasks_of(target):
+        # scan tasks take whole files up to the target together
+        with self._session(files_maxPartitionBytes=str(target), files_openCostInBytes="0", files_minPartitionNum="1"):
             for run in runs:
-                made += self._write(self.spark.read.schema(schema).parquet(*[s.path for s in run]))
+                made += self._write(self._open(schema, run))
         return self.commit(base, base["schema"], made, {s.path for run in runs for s in run})
 
     def vacuum(self, keep: int = 1) -> int:
@@ -199,10 +207,11 @@ class Store:
         parts = {p["name"] for v in known[-keep:] for p in self.manifest(v)["parts"]}
         n = 0
         for folder in self._names("data"):
-            for f in self._names(f"data/{folder}"):
-                path = f"{self.path}/data/{folder}/{f}"
-                if path not in named:
-                    n += self.fs.delete(self._at(path), True)
+            files = [f"{self.path}/data/{folder}/{f}" for f in self._names(f"data/{folder}")]
+            dead = [f for f in files if f not in named]
+            if len(dead) == len(files):
+                dead = [f"{self.path}/data/{folder}"]
+            n += sum(bool(self.fs.delete(self._at(f), True)) for f in dead)
         for f in self._names("parts"):
             if f not in parts:
                 self.fs.delete(self._at(f"{self.path}/parts/{f}"), False)
@@ -217,5 +226,5 @@ class Store:
         if m["schema"] is None:
             return self.spark.createDataFrame([], T.StructType())
         schema = T.StructType.fromJson(json.loads(m["schema"]))
-        files = [s.path for s in self.shards(version)]
-        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+        shards = self.shards(version)
+        return self._open(schema, shards) if shards else self.spark.createDataFrame([], schema)

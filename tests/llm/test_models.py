@@ -339,7 +339,7 @@ def test_rule_order_by_rejections_per_cost(spark):
 
 
 def test_tiers_keep_sizes_apart():
-    s = [sharding.Shard(f"f{k}", 10) for k in range(8)] + [sharding.Shard("big", 900), sharding.Shard("mid", 100), sharding.Shard("more", 500), sharding.Shard("also", 600)]
+    s = [sharding.Shard(f"f{k}", 10) for k in range(8)] + [sharding.Shard("big", 900), sharding.Shard("mid", 100), sharding.Shard("more", 400), sharding.Shard("also", 490), sharding.Shard("near", 600), sharding.Shard("close", 700)]
     runs = sharding.tiers(s, 1000)
     assert [[x.path for x in r] for r in runs] == [[f"f{k}" for k in range(8)], ["more", "also"]]
     assert [sharding.tier_of(x, 4) for x in (0, 1, 3, 4, 15, 16, 4**20 - 1, 4**20)] == [0, 0, 0, 1, 1, 2, 19, 20]
