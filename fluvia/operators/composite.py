@@ -88,3 +88,22 @@ def subset_statistics(obs: DataFrame, value: str, day: str = "date") -> DataFram
     parity = F.when(F.col("place") % 2 == 1, "odd").otherwise("even")
     rows = obs.join(numbered, day).withColumn("subset", F.explode(F.array(F.lit("all"), parity)))
     return rows.groupBy(*CELL, "subset").agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
+
+
+def composite_water(index: Column, index_level: float, backscatter: Column, backscatter_level: float) -> Column:
+    """Water of a single composite; radar only where there is no index."""
+    return F.coalesce(F.when(index.isNotNull(), index > index_level).otherwise(backscatter < backscatter_level), F.lit(False))
+
+
+def shown(value: Column, low: float, high: float, log: bool = False) -> Column:
+    """A value for display from 0 to 1: clipped to its range, on a logarithmic scale where asked for."""
+    from fluvia.functions.spectral import clip
+
+    f = (lambda x: F.log10(F.greatest(x, F.lit(1e-6)))) if log else (lambda x: x)
+    lo, hi = f(F.lit(float(low))), f(F.lit(float(high)))
+    return clip((f(clip(value, float(low), float(high))) - lo) / (hi - lo), 0.0, 1.0)
+
+
+def merged_confidence(cls: Column, corridor: Column, tested: Column, standard: Column) -> Column:
+    """The confidence of a change: the test's in the corridor, the standard one outside; NULL without a water change."""
+    return F.when(cls.isin(1, 2, 5, 6), F.when(corridor, tested).otherwise(standard))

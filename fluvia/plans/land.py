@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluvia.functions import soil, spectral
-from fluvia.operators import composite, external, focal, lines, ml, patches, regions, resample, watermap
+from fluvia.operators import composite, external, focal, lines, ml, patches, regions, resample, stats, watermap
 from fluvia.plans.grid import CHANGE, EDGES, FREQ, OBS, PERIODS, PIXELS, REACH, WATER, observations, periods, pixels, shape
 from fluvia.plans.maps import PIXEL_HA, change, code_table, freq, water
 from fluvia.plans.maps import CODES as LABELS
@@ -348,3 +348,37 @@ def bank_line_table(spark, d):
     x = pixels(spark, d).withColumn("v", F.col("s") / 50.0)
     kept = lines.bank_lines(x, "v", focal.dilate(river_of(spark, d), 2), 20.0, least=40.0)
     return lines.line_lengths(kept, 20.0)
+
+
+@query(f"""WITH {PIXELS} SELECT "row", col, coalesce(CASE WHEN s % 9 <> 0 THEN z > 1200 WHEN s % 2 = 0 THEN s / 50.0 < 0.5 END, false) AS water FROM px""")
+def composite_water(spark, d):
+    back = F.when(F.col("s") % 2 == 0, F.col("s") / 50.0)
+    return pixels(spark, d).select("row", "col", composite.composite_water(F.when(F.col("s") % 9 != 0, F.col("z")), 1200.0, back, 0.5).alias("water"))
+
+
+@query(f"""WITH {PIXELS} SELECT "row", col, round((least(greatest(z, 1000), 1800) - 1000) / 800, 6) AS plain, round((log10(least(greatest(s, 2), 40)) - log10(2)) / (log10(40) - log10(2)), 6) AS logged FROM px""")
+def shown_values(spark, d):
+    return pixels(spark, d).select("row", "col", F.round(composite.shown(F.col("z"), 1000, 1800), 6).alias("plain"), F.round(composite.shown(F.col("s").cast("double"), 2, 40, log=True), 6).alias("logged"))
+
+
+@query(f"""WITH {PIXELS}, q AS (SELECT quantile_cont(z, 0.02) AS lo, quantile_cont(z, 0.98) AS hi FROM px) SELECT "row", col, round(least(greatest((z - lo) / (hi - lo), 0), 1), 6) AS shown FROM px, q""")
+def stretched_band(spark, d):
+    """A band stretched between its percentiles 2 and 98."""
+    x = pixels(spark, d)
+    low, high = stats.quantiles(x, "z", (0.02, 0.98))
+    return x.select("row", "col", F.round(composite.shown(F.col("z"), low, high), 6).alias("shown"))
+
+
+@query(f"""WITH {OBS}, {PERIODS}, {CHANGE}, {PIXELS} SELECT "row", col, round(CASE WHEN cls IN (1, 2, 5, 6) THEN (CASE WHEN col < 25 THEN z / 2000 ELSE s / 50.0 END) END, 6) AS confidence FROM ch JOIN px USING ("row", col)""")
+def merged_confidence(spark, d):
+    x = change(spark, d).join(pixels(spark, d), ["row", "col"])
+    return x.select("row", "col", F.round(composite.merged_confidence(F.col("cls"), F.col("col") < 25, F.col("z") / 2000, F.col("s") / 50.0), 6).alias("confidence"))
+
+
+@query(f"""WITH {OBS}, {PERIODS}, {CHANGE}, t AS (SELECT CASE WHEN cls IN (1, 5) THEN 'loss' WHEN cls = 2 THEN 'gain' WHEN cls > 0 THEN 'other' ELSE 'none' END AS kind, count(*) AS pixels FROM ch GROUP BY ALL) SELECT kind, pixels, round(100 * pixels / sum(pixels) OVER (), 4) AS share_pct FROM t""")
+def change_shares(spark, d):
+    c = F.col("cls")
+    kind = F.when(c.isin(1, 5), "loss").when(c == 2, "gain").when(c > 0, "other").otherwise("none")
+    n = change(spark, d).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("pixels"))
+    total = n.agg(F.sum("pixels").alias("total"))
+    return n.crossJoin(F.broadcast(total)).select("kind", "pixels", F.round(100 * F.col("pixels") / F.col("total"), 4).alias("share_pct"))  # one row

@@ -182,3 +182,35 @@ def cached(spark: SparkSession, path: str, needs: list[str], compute) -> DataFra
             return df
     compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def channel_readings(feeds: DataFrame, fields: dict[str, tuple[str, int]]) -> DataFrame:
+    """(station, event_id, ts, metric, setback, value) from wide feeds (station, event_id, ts, field1..): a row for each field that has a number."""
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(s).cast("int").alias("setback"), F.col(c).try_cast("double").alias("value")) for c, (m, s) in fields.items()])
+    return feeds.select("station", "event_id", "ts", F.explode(each).alias("r")).select("station", "event_id", "ts", "r.*").where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def simulated(spark: SparkSession, stations: DataFrame, start: str, hours: int, step_minutes: int = 15, seed: int = 42) -> DataFrame:
+    """Readings (station, event_id, ts, metric, setback, value) that depend on station, time and seed only: a daily wave of the level, rain in some three-hour blocks, a slow tilt."""
+    n = hours * 60 // step_minutes
+    t = spark.range(n).withColumnRenamed("id", "k")
+    x = stations.select("station").crossJoin(F.broadcast(t))  # a row for each reading to make
+    x = x.withColumn("ts", F.timestamp_micros(F.unix_micros(F.lit(start).cast("timestamp")) + F.col("k") * step_minutes * 60_000_000))
+    draw = lambda *key: F.pmod(F.xxhash64("station", *key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    block = F.floor(F.col("k") * step_minutes / 180)
+    level = 5 + F.sin(F.col("k") * (step_minutes * 2 * 3.141592653589793 / 1440)) + 0.1 * draw("k")
+    rain = F.when(draw(block, F.lit(1)) < 0.15, 3 * draw("k", F.lit(2))).otherwise(0.0)
+    tilt = F.col("k") * step_minutes / 1440 * 0.05 + 0.02 * draw("k", F.lit(3))
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(s).cast("int").alias("setback"), v.alias("value")) for m, s, v in (("level_m", 0, level), ("rain_mm", 0, rain), ("tilt", 5, tilt), ("battery_v", 0, 3.7 + 0.3 * draw("k", F.lit(4))))])
+    return x.select("station", "ts", "k", F.posexplode(each).alias("m", "r")).select("station", (F.col("k") * 4 + F.col("m")).alias("event_id"), "ts", "r.*")
+
+
+def gathered_sources(readers: dict) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """What each reader gives; those that fail are told by name, the others go on."""
+    got, failed = {}, {}
+    for name, read in readers.items():
+        try:
+            got[name] = read()
+        except Exception as e:  # one source must not stop the rest
+            failed[name] = f"{type(e).__name__}: {e}".splitlines()[0]
+    return got, failed

@@ -134,3 +134,32 @@ def test_more_sources(spark, tmp_path):
     soil = spark.createDataFrame([(1, "sand", "0-5cm", 100.0), (1, "sand", "5-15cm", 400.0), (1, "soc", "0-5cm", 50.0)], "cell int, prop string, depth string, v double")
     assert {r.prop: r.v for r in tables.depth_soil(soil, ["cell"], {"0-5cm": 5, "5-15cm": 10}, {"sand": 10, "soc": 100}).collect()} == {"sand": 30.0, "soc": 0.5}
     assert spark.range(1).select(tables.scaled(F.lit(0.126), 100, 0, 100, 255), tables.scaled(F.lit(None), 100, 0, 100, 255), tables.scaled(F.lit(9.0), 100, 0, 100, 255)).first()[:] == (13, 255, 100)
+
+
+def test_rasters_round_trip(spark, tmp_path):
+    import numpy as np
+
+    from fluvia.sources import rasters
+
+    rng = np.random.default_rng(1)
+    for kind in (np.float32, np.uint8, np.int16):
+        a = (rng.random((2, 9, 7)) * 100).astype(kind)
+        got, grid, none = rasters.bands_of(rasters.file_of(a, 100.0, 900.0, 20.0, -1.0))
+        assert np.array_equal(got, a) and grid == (100.0, 900.0, 20.0) and none == -1.0
+    cells = spark.createDataFrame([(r, c, float(r * 10 + c), None if c == 3 else 1.5) for r in range(5) for c in range(6)], "row int, col int, a double, b double")
+    rasters.write_raster(cells, f"{tmp_path}/tiles", ["a", "b"], 0.0, 100.0, 10.0, tile=4)
+    for t in spark.read.parquet(f"{tmp_path}/tiles").collect():
+        (tmp_path / f"t{t.tile_row}{t.tile_col}.tif").write_bytes(bytes(t.content))
+    back = rasters.raster(spark, f"{tmp_path}/*.tif", ["a", "b"]).collect()
+    assert sorted((r.x, r.y, r.a, r.b or 0) for r in back) == sorted((c * 10 + 5.0, 95.0 - r * 10, float(r * 10 + c), 0 if c == 3 else 1.5) for r in range(5) for c in range(6))
+
+
+def test_feeds_simulation_and_failing_sources(spark):
+    feeds = spark.createDataFrame([(1, 1, "2024-01-01 00:00:00", "4.5", "bad"), (1, 2, "2024-01-01 00:15:00", None, "0.25")], "station long, event_id long, t string, field1 string, field2 string").withColumn("ts", F.to_timestamp("t"))
+    got = tables.channel_readings(feeds, {"field1": ("level_m", 0), "field2": ("tilt", 5)}).collect()
+    assert sorted((r.event_id, r.metric, r.setback, r.value) for r in got) == [(1, "level_m", 0, 4.5), (2, "tilt", 5, 0.25)]
+    st = spark.createDataFrame([(1,), (2,)], "station long")
+    one, two = (tables.simulated(spark, s, "2024-01-01 00:00:00", 24) for s in (st, st.repartition(5)))
+    assert one.count() == 2 * 96 * 4 and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    ok, failed = tables.gathered_sources({"a": lambda: spark.range(1), "b": lambda: 1 / 0})
+    assert set(ok) == {"a"} and failed == {"b": "ZeroDivisionError: division by zero"}
