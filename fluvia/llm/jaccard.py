@@ -35,11 +35,12 @@ gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.llm import _blocks as B
@@ -363,24 +364,23 @@ def _classes(docs: DataFrame, words: int, threshold: float, cluster_shingles: in
     return out.select("k1", "k2", "n", "copies", "rep", F.coalesce("low.rep", "rep").alias("least"), F.coalesce(F.col("low.node") == F.col("node"), F.lit(True)).alias("first"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def _keyed(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Columns of docs with the key of each row's words."""
+def _keyed(rows: DataFrame, text: Callable) -> DataFrame:
+    """rows with the key (k1, k2) of each one's words; ``text`` finds the texts in a batch."""
 
     def run(batches):
         for batch in batches:
-            k = sequence_keys(batch["_text"])
-            rest = [c for c in batch.schema.names if c != "_text"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in rest), pa.array(k[:, 0].view(np.int64)), pa.array(k[:, 1].view(np.int64))], [*rest, "k1", "k2"])
+            k = sequence_keys(text(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(k[:, 0].view(np.int64)), pa.array(k[:, 1].view(np.int64))], [*batch.schema.names, "k1", "k2"])
 
-    rows = docs.select(F.col("text").cast("string").alias("_text"), *[c.alias(name) for name, c in columns.items()])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{fields}, k1 long, k2 long")
 
 
 def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shingles: int = CLUSTER_SHINGLES, count_links: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): the size of each document's set, the smallest doc_id reachable by links, and with how many other rows it has a link (left out without count_links)."""
     classes = _classes(docs, words, threshold, cluster_shingles, count_links)
-    rows = _keyed(docs, {"doc_id": F.col("doc_id").cast("long")}).join(classes, ["k1", "k2"])
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = _keyed(own, lambda batch: batch["text"]).drop("text").join(classes, ["k1", "k2"])
     alone = F.col("n") == 0
     component = F.when(alone, F.col("doc_id")).when(F.col("least") != B.NO_ID, F.col("least"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")]
@@ -391,9 +391,12 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, cluster_shi
 
 def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """Whole rows of docs: of each class one row, with the smallest doc_id; rows without words link with nothing and stay. Classes are those of texts, so rows without doc_id or with a repeated one are judged each by its text."""
-    classes = _classes(docs, words, threshold, CLUSTER_SHINGLES, False)
-    whole = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(B.NO_ID))}
+    keep = _classes(docs, words, threshold, CLUSTER_SHINGLES, False).where("first and n > 0").select("k1", "k2", F.col("rep").alias("id"), F.lit(True).alias("kept"))
     # inside Python the row is opaque: it goes through as it is
-    rows = _keyed(docs, whole).join(classes.where("first or n = 0"), ["k1", "k2"]).where("n = 0 or id = rep")
-    one = rows.where("n > 0").dropDuplicates(["k1", "k2"])
-    return one.select("row.*").unionByName(rows.where("n = 0").select("row.*"))
+    place = docs.columns.index("text")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(B.NO_ID)).alias("id"))
+    key = ["k1", "k2", "id"]  # with the id, copies of one text spread over the tasks
+    rows = _keyed(whole, lambda batch: batch["row"].field(place)).join(keep, key, "left")
+    e1, e2 = sequence_keys(pa.array([""]))[0].view(np.int64).tolist()
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("k1"))
+    return rows.withColumn("nth", nth).where(((F.col("k1") == e1) & (F.col("k2") == e2)) | (F.col("kept") & (F.col("nth") == 1))).select("row.*")
