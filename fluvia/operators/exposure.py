@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluvia.functions import rules
+from fluvia.operators.regions import written
 from fluvia.operators.sites import candidates, quota_top
 from fluvia.operators.spatial import nearest, sum_within, within
 from fluvia.operators.unmix import length_within
@@ -21,6 +22,7 @@ def site_exposure(sites: DataFrame, layers: dict[str, DataFrame], key: str = "id
     cell_ha where the points have it), segments (sid, x1, y1, x2, y2) for road_km
     and embankment_km, points for facilities, and places (name, px, py).
     """
+    sites = written(sites)  # read by each layer's join
     own, out = sites.select(key, "x", "y"), sites
     for name in POINTS:
         if layers.get(name) is not None:

@@ -68,17 +68,41 @@ def _label_tile(table: pa.Table) -> pa.Table:
     return pa.table({"row": pa.array(r, pa.int32()), "col": pa.array(c, pa.int32()), "cls": pa.array(k, pa.int32()), "part": pa.array([a * WIDE + b for a, b in roots], pa.int64())})
 
 
+def _stars(batches):
+    """A partition's links as (node, smallest node that the partition's links lead to)."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while parent.get(root, root) != root:
+            root = parent[root]
+        while parent.get(x, x) != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for x, y in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            x, y = find(x), find(y)
+            parent.setdefault(x, x)
+            parent.setdefault(y, y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    nodes = [x for x in parent if parent[x] != x]
+    yield pa.RecordBatch.from_pydict({"a": pa.array(nodes, pa.int64()), "b": pa.array([find(x) for x in nodes], pa.int64())})
+
+
 def merged(links: DataFrame) -> DataFrame:
-    """(node, top): nodes of links (a, b) with the smallest node that they reach, by hooking and contraction."""
+    """(node, top): nodes of links (a, b) with the smallest node that they reach. Each partition shortens its own links, then hooking and contraction join the partitions'."""
     levels = []
-    links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    short = lambda df: written(df.distinct().mapInArrow(_stars, "a long, b long"))
+    links = short(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"))
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy("a").agg(F.least("a", F.min("b")).alias("up"))
         hook = written(hook.join(hook.select(F.col("a").alias("up"), F.col("up").alias("upper")), "up", "left").select("a", F.coalesce("upper", "up").alias("up")))
         levels.append(hook)
         step = links.join(hook.withColumnRenamed("up", "x"), "a").join(hook.select(F.col("a").alias("b"), F.col("up").alias("y")), "b")
-        links = written(step.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).where("a <> b").distinct())
+        links = short(step.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).where("a <> b"))
     if not levels:
         return links.select(F.col("a").alias("node"), F.col("b").alias("top"))
     found = levels[-1].select(F.col("a").alias("node"), F.col("up").alias("top"))

@@ -54,7 +54,8 @@ def nearest(sites: DataFrame, places: DataFrame, key: str, name: str) -> DataFra
     name. Rows without coordinates take no part; without places there are no rows.
     """
     places = places.where("px is not null and py is not null").groupBy("px", "py").agg(F.min(name).alias(name))
-    left = sites.select(key, "x", "y").where("x is not null and y is not null")
+    places = written(places)
+    left = written(sites.select(key, "x", "y").where("x is not null and y is not null"))
     middle = F.percentile_approx("px", F.array(F.lit(0.05), F.lit(0.95))).alias("x"), F.percentile_approx("py", F.array(F.lit(0.05), F.lit(0.95))).alias("y")
     n, ax, bx, ay, by, mx, my = places.agg(F.count(F.lit(1)), F.min("px"), F.max("px"), F.min("py"), F.max("py"), *middle).first()
     cx, dx, cy, dy = left.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()

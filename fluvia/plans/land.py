@@ -346,7 +346,8 @@ def river_of(spark, d) -> DataFrame:
 def bank_line_table(spark, d):
     """Lines of the smoothed surface that follow the river's edge."""
     x = pixels(spark, d).withColumn("v", F.col("s") / 50.0)
-    kept = lines.bank_lines(x, "v", focal.dilate(river_of(spark, d), 2), 20.0, least=40.0)
+    river = regions.written(focal.dilate(river_of(spark, d), 2))
+    kept = regions.written(lines.bank_lines(x, "v", river, 20.0, least=40.0))
     return lines.line_lengths(kept, 20.0)
 
 
