@@ -197,7 +197,8 @@ class Store:
         # scan tasks take whole files up to the target together
         with self._session(files_maxPartitionBytes=str(target), files_openCostInBytes="0", files_minPartitionNum="1"):
             for run in runs:
-                made += self._write(self._open(schema, run))
+                # any two of them fit a file, so this is fewer files than shards whatever the scan's own packing is
+                made += self._write(self._open(schema, run).coalesce(-(-sum(s.size for s in run) // target)))
         return self.commit(base, base["schema"], made, {s.path for run in runs for s in run})
 
     def vacuum(self, keep: int = 1) -> int:
