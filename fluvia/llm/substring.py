@@ -35,19 +35,20 @@ ROWS = 2
 SPREAD = 4
 
 
-def _windows(table: pa.Table, width: int, lane: int = 0):
-    """All windows of a block: (hash, row, first word in the row)."""
+def _windows(table: pa.Table, width: int, lanes: int = 1):
+    """All windows of a block: (hashes of each lane, row, first word in the row)."""
     buf, offs = T.utf8(table["text"])
-    h, row, pos = [], [], []
+    h, row, pos = [[] for _ in range(lanes)], [], []
     for a, b in T.chunks(offs):
         w = T.Words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-        x, at = T.ngrams(w.hashes(lane=lane), w.counts, width)
+        for lane in range(lanes):
+            x, at = T.ngrams(w.hashes(lane=lane), w.counts, width)
+            h[lane].append(x)
         d = w.doc[at]
-        h.append(x)
         row.append((d + a).astype(np.int32))
         pos.append((at - w.first[d]).astype(np.int32))
     cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return cat(h, np.uint64), cat(row, np.int32), cat(pos, np.int32)
+    return [cat(x, np.uint64) for x in h], cat(row, np.int32), cat(pos, np.int32)
 
 
 def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -65,6 +66,17 @@ def _sketch(h: np.ndarray, bits: int) -> list[list[np.ndarray]]:
     return out
 
 
+def _flags(cells: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """Of each cell its flag, from those of the sorted distinct cells: by one sort, as a binary search for each cell misses the cache at most steps."""
+    order = np.argsort(cells)
+    ranked = cells[order]
+    new = np.ones(len(order), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    out = np.empty(len(order), bool)
+    out[order] = flag[np.cumsum(new) - 1]
+    return out
+
+
 def sketches(n: int) -> B.Exchange:
     """Which cells more than one window of the corpus uses."""
     twice = lambda g, values, at, m: [(np.bincount(at, minlength=m) > 1) | (np.bincount(at, weights=values[0], minlength=m) > 0)]
@@ -86,13 +98,12 @@ class Suspects:
     """Windows of a block whose every cell is shared: the distinct ones by their two hashes, and each one's place among them."""
 
     def __init__(self, table: pa.Table, flags: list[list[np.ndarray]], width: int, bits: int):
-        h, self.row, self.pos = _windows(table, width)
-        at = np.arange(len(h))
+        (h1, h2), self.row, self.pos = _windows(table, width, lanes=2)
+        shared = np.ones(len(h1), bool)
         for r, (flag,) in enumerate(flags):
-            cells = _cells(h, r, bits)
-            if len(at):
-                at = at[flag[np.searchsorted(np.unique(cells), cells[at])]]
-        h1, h2 = h[at], _windows(table, width, lane=1)[0][at]
+            shared &= _flags(_cells(h1, r, bits), flag)
+        at = np.flatnonzero(shared)
+        h1, h2 = h1[at], h2[at]
         self.row, self.pos = self.row[at], self.pos[at]
         self.ids = B.ids_of(table["doc_id"])[self.row]
         order = np.lexsort((self.ids, h2, h1))
@@ -119,7 +130,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, carry: tuple[str, ...] = ()
     shared, smallest = sketches(n), owners(n)
 
     def pass_1(key, table):
-        return shared.ask(key[0].as_py(), _sketch(_windows(B.thaw(table["payload"]), width)[0], bits))
+        return shared.ask(key[0].as_py(), _sketch(_windows(B.thaw(table["payload"]), width)[0][0], bits))
 
     cells = shared.answers(dealt.groupBy("blk").applyInArrow(pass_1, B.MESSAGE))
 

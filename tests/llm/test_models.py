@@ -1,6 +1,8 @@
 """Models and kernels against plain versions of themselves: scores, weights, sums, calibration, balance, words that a weak hash confuses."""
 
 import hashlib
+import time
+import timeit
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -104,6 +106,24 @@ def test_messages_grow_with_the_input():
     assert sent[256] <= 16 * sent[16] * 2  # levels: 2, 3, 4
 
 
+def test_suspects_like_plain_sets_in_little_time():
+    """Windows whose every cell is shared; of a full block they are found in a few times the CPU seconds that hashing takes."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 500))) for _ in range(1500)]
+    for some, bits in (([*texts[:30], *texts[:5], "", "a b"], 16), (texts + texts[:500], 31)):
+        table = pa.table({"doc_id": pa.array(range(len(some)), pa.int64()), "text": pa.array(some, pa.large_string())})
+        where = [(k, j) for k, x in enumerate(some) for j in range(len(x.split()) - 12)]
+        h = T.ngrams(T.Words(*T.utf8(table["text"])).hashes(), np.array([len(x.split()) for x in some]), 13)[0]
+        used = [Counter(substring._cells(h, r, bits).tolist()) for r in range(substring.ROWS)]
+        flags = [[np.array([u[c] > 1 for c in sorted(u)])] for u in used]
+        s = substring.Suspects(table, flags, 13, bits)
+        shared = np.all([[u[c] > 1 for c in substring._cells(h, r, bits).tolist()] for r, u in enumerate(used)], axis=0)
+        assert list(zip(s.row.tolist(), s.pos.tolist(), strict=True)) == [x for x, y in zip(where, shared, strict=True) if y]
+        assert s.h1[s.place].tolist() == h[shared].tolist()
+    least = lambda f: min(timeit.repeat(f, timer=time.process_time, number=1, repeat=3))
+    assert least(lambda: substring.Suspects(table, flags, 13, bits)) < 6 * least(lambda: substring._windows(table, 13))
+
+
 def test_blocks_follow_counted_bytes(spark, monkeypatch):
     """Frames that Catalyst guesses wrong: joined with themselves, or made from nothing."""
     docs = spark.range(2000).selectExpr("id AS doc_id", "repeat(concat('w', id % 50, ' '), 40) AS text")
