@@ -18,6 +18,7 @@ lost executor costs a recomputation only.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import pickle
 import tempfile
@@ -127,6 +128,29 @@ def gathered(batches, size=lambda b: b.nbytes, limit: int = PACK_BYTES):
         yield pa.Table.from_batches(held)
 
 
+def pieces(batches, limit: int):
+    """Record batches cut to about limit bytes: Spark's have a number of rows, whatever their bytes."""
+    for b in batches:
+        step = max(1, b.num_rows * limit // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
+def release() -> None:
+    """Free memory of this process goes back to the system: a Python worker lives as long as its executor, and would keep the most that any task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def lean(step: Callable, *args):
+    """What the step gives; what it took on its way is released."""
+    out = step(*args)
+    release()
+    return out
+
+
 def ids_of(column) -> np.ndarray:
     """doc_id as integers; null sorts after every other."""
     return np.asarray(column.cast(pa.int64()).fill_null(NO_ID).combine_chunks() if isinstance(column, pa.ChunkedArray) else column.cast(pa.int64()).fill_null(NO_ID))

@@ -95,15 +95,23 @@ def _grouped(k1: np.ndarray, k2: np.ndarray, low: np.ndarray) -> tuple[np.ndarra
 
 
 def _pack(n: int):
+    def packed(t: pa.Table) -> pa.RecordBatch:
+        ids, keys = B.ids_of(t["doc_id"]), sequence_keys(t["text"])
+        order, new = _grouped(keys[:, 0], keys[:, 1], ids)
+        copies = np.diff(np.append(np.flatnonzero(new), len(order)))
+        first, blk = order[new], (keys[order[new], 0] % np.uint64(n)).astype(np.int64)
+        place = np.argsort(blk, kind="stable")
+        first, copies, blk = first[place], copies[place], blk[place]
+        numbers, at = np.unique(blk, return_index=True)
+        # texts are copied block by block, not all at once
+        text = t["text"].cast(pa.large_string())
+        group = lambda g, many: pa.table({"k1": keys[g, 0], "k2": keys[g, 1], "low": ids[g], "copies": many, "text": text.take(pa.array(g))})
+        out = [B.freeze(group(first[a:b], copies[a:b])) for a, b in zip(at, [*at[1:], len(blk)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(out, pa.binary())], ["blk", "payload"])
+
     def pack(batches):
-        for t in B.gathered(batches):
-            ids, keys = B.ids_of(t["doc_id"]), sequence_keys(t["text"])
-            order, new = _grouped(keys[:, 0], keys[:, 1], ids)
-            first = order[new]
-            copies = np.diff(np.append(np.flatnonzero(new), len(order)))
-            group = pa.table({"k1": keys[first, 0], "k2": keys[first, 1], "low": ids[first], "copies": copies, "text": t["text"].cast(pa.large_string()).take(pa.array(first))})
-            out = list(B.split_blocks(group, (keys[first, 0] % np.uint64(n)).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["blk", "payload"])
+        for t in B.gathered(B.pieces(batches, B.PACK_BYTES // 4)):
+            yield B.lean(packed, t)
 
     return pack
 
@@ -289,7 +297,7 @@ def _found(docs: DataFrame, words: int, threshold: float) -> tuple[DataFrame, in
         cells, _, count = Sets(table["payload"], words).cells(bits)
         return exchange.ask(key[0].as_py(), [[cells, np.minimum(count, MOST_COUNT).astype(np.uint8)]])
 
-    counts = exchange.answers(dealt.groupBy("blk").applyInArrow(ask, B.MESSAGE))
+    counts = exchange.answers(dealt.groupBy("blk").applyInArrow(lambda key, table: B.lean(ask, key, table), B.MESSAGE))
 
     def prefixes(key, left, right):
         s = Sets(left["payload"], words) if left.num_rows else None
@@ -314,7 +322,7 @@ def _found(docs: DataFrame, words: int, threshold: float) -> tuple[DataFrame, in
             "shared": pa.array(told, pa.binary()), "first": pa.ListArray.from_arrays(at, prefix),
         })
 
-    return B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(prefixes, FOUND)), n
+    return B.written(dealt.groupBy("blk").cogroup(counts.groupBy("blk")).applyInArrow(lambda key, left, right: B.lean(prefixes, key, left, right), FOUND)), n
 
 
 def _tasks(members: DataFrame, n: int, threshold: float, cluster_shingles: int) -> DataFrame:

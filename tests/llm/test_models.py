@@ -459,6 +459,17 @@ def test_hot_groups_stay_out_of_blocks(spark):
     assert jaccard.one_of_each(docs).count() == 601
 
 
+def test_packs_are_bounded_in_bytes():
+    """Spark's batches have a number of rows: one of 60 MB is packed in parts, and each text is sent once with all its copies of that part."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": [f"{k} " + "word " * 200_000 for k in range(60)]})
+    packs = list(jaccard._pack(4)(iter([batch])))
+    sent = [B.thaw(pa.chunked_array([p.column("payload")])) for p in packs]
+    assert len(packs) > 1 and all(t["text"].nbytes < 1.5 * B.PACK_BYTES for t in sent)
+    assert sorted(x for t in sent for x in t["low"].to_pylist()) == list(range(60))
+    blocks = [(blk, k1) for p in packs for blk, x in zip(p.column("blk").to_pylist(), p.column("payload"), strict=True) for k1 in B.thaw(pa.chunked_array([pa.array([x.as_py()], pa.binary())]))["k1"].to_pylist()]
+    assert len(blocks) == 60 and all(k1 % 4 == blk for blk, k1 in blocks)
+
+
 def test_bands_lose_no_link(spark):
     """Sets of many sizes in one cluster, cut into bands and parts: all links as by brute force."""
     rng = np.random.default_rng(9)
