@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.functions.rules import QUOTAS, verdict
-from fluvia.operators.spatial import within
+from fluvia.operators.regions import written
+from fluvia.operators.spatial import nearest_within
 
 
 def quota_top(sites: DataFrame, score: str, key: str, source: str = "source", quotas: dict[str, int] = QUOTAS, n: int = 50) -> DataFrame:
@@ -24,24 +27,39 @@ def candidates(sites: DataFrame, score: str, key: str, n: int = 50) -> DataFrame
     return sites.where(F.col(score) > 0).orderBy(F.desc(score), key).limit(max(6 * n, 300))
 
 
-def field_matches(sites: DataFrame, records: DataFrame, d: float = 300.0) -> DataFrame:
-    """(site_id, record_id): records that name a site; for sites that none names, the nearest within d of records that name no listed site."""
+def _met(sites: DataFrame, records: DataFrame, d: float, more: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(site_id, record_id, more columns of the record) of records that name a site, and the same with d2 of the nearest ones of the other sites."""
     r = records.where(F.col("px").isNotNull() & F.col("py").isNotNull())
-    named = r.join(sites.select(F.col("site_id").alias("claimed")), "claimed", "left_semi")
-    exact = named.select(F.col("claimed").alias("site_id"), "record_id")
-    open_sites = sites.join(exact.select("site_id").distinct(), "site_id", "left_anti")
+    # written, so that Spark knows how small they are before it deals the sites out
+    claims = written(r.where("claimed is not null").select(F.col("claimed").alias("site_id")).distinct())
+    listed = written(sites.join(claims, "site_id", "left_semi").select("site_id").distinct())
+    named = r.join(listed.withColumnRenamed("site_id", "claimed"), "claimed", "left_semi")
     free = r.join(named.select("record_id"), "record_id", "left_anti")
-    w = Window.partitionBy("site_id").orderBy("d2", "record_id")
-    near = within(open_sites, free, d).withColumn("_r", F.row_number().over(w)).where("_r = 1").select("site_id", "record_id")
-    return exact.unionByName(near)
+    near = nearest_within(sites.join(listed, "site_id", "left_anti"), free, "site_id", "record_id", d, more=more)
+    return named.select(F.col("claimed").alias("site_id"), "record_id", *more), near
+
+
+def field_matches(sites: DataFrame, records: DataFrame, d: float = 300.0) -> DataFrame:
+    """(site_id, record_id): records that name a site; for sites that none names, the nearest within d of records that name no listed site."""
+    exact, near = _met(sites, records, d)
+    best = near.groupBy("site_id").agg(F.min(F.struct("d2", "record_id")).alias("r"))
+    return exact.unionByName(best.select("site_id", "r.record_id"))
+
 
+def field_status(sites: DataFrame, records: DataFrame, d: float = 300.0) -> DataFrame:
+    """(site_id, visits, verdict): of the records that match a site as in field_matches, the latest by date decides.
 
-def field_status(sites: DataFrame, records: DataFrame, matches: DataFrame) -> DataFrame:
-    """(site_id, visits, verdict): the latest record by date decides."""
-    rows = matches.join(records, "record_id")
-    latest = rows.groupBy("site_id").agg(F.count(F.lit(1)).alias("visits"), F.max_by(F.struct("reference_class", "erosion_present"), F.struct("today", "record_id")).alias("r"))
-    got = latest.join(sites.select("site_id", "site_class"), "site_id")
-    return got.select("site_id", "visits", verdict(F.col("site_class"), F.col("r.reference_class"), F.col("r.erosion_present")).alias("verdict"))
+    Records have one row an id. They bring what decides along, so that matches and visits come from one aggregate.
+    """
+    decides = ("reference_class", "erosion_present")
+    exact, near = _met(sites, records, d, ("today", *decides))
+    every = exact.withColumn("d2", F.lit(None).cast("double")).unionByName(near)
+    named = F.col("d2").isNull()
+    last = F.max_by(F.when(named, F.struct(*decides)), F.when(named, F.struct("today", "record_id"))).alias("last")
+    got = every.groupBy("site_id").agg(F.count_if(named).alias("n"), last, F.min(F.when(~named, F.struct("d2", "record_id", *decides))).alias("near"))
+    r = [F.when(F.col("n") > 0, F.col(f"last.{c}")).otherwise(F.col(f"near.{c}")) for c in decides]
+    visits = F.when(F.col("n") > 0, F.col("n")).otherwise(1).alias("visits")
+    return got.join(sites.select("site_id", "site_class"), "site_id").select("site_id", visits, verdict(F.col("site_class"), *r).alias("verdict"))
 
 
 def field_summary(status: DataFrame) -> DataFrame:
@@ -49,9 +67,9 @@ def field_summary(status: DataFrame) -> DataFrame:
     return status.agg(F.count(F.lit(1)).alias("visited"), yes.alias("confirmed"), no.alias("not_confirmed"), F.round(F.try_divide(yes, yes + no), 3).alias("rate"))
 
 
-def field_report(records: DataFrame, sites: DataFrame, matches: DataFrame) -> DataFrame:
+def field_report(records: DataFrame, sites: DataFrame) -> DataFrame:
     """One row: records, those with coordinates, sites visited, confirmed and not, the rate over decided ones, how many records agree with the map (of all), and new sites."""
-    status = field_summary(field_status(sites, records, matches))
+    status = field_summary(field_status(sites, records))
     gps = F.col("px").isNotNull() & F.col("py").isNotNull()
     agrees = F.avg((F.lower(F.coalesce("map_agrees", F.lit(""))) == "yes").cast("double"))
     r = records.agg(F.count(F.lit(1)).alias("records"), F.count_if(gps).alias("records_with_gps"), F.round(agrees, 3).alias("map_agreement"), F.count_if(F.coalesce("claimed", F.lit("")) == "NEW").alias("new_sites"))
